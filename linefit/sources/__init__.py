@@ -1,0 +1 @@
+"""Readers for delimited text, under explicit rules for bad rows."""
