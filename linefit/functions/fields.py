@@ -34,9 +34,9 @@ def to_integer(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def to_year(text: Column) -> Column:
-    """Number truncated toward zero, so ``1998.9`` is 1998; NaN and out of range give null."""
-    return to_double(text).try_cast("int")
+def whole(number: Column) -> Column:
+    """Double truncated toward zero, so 1998.9 is 1998; NaN and out of range give null."""
+    return number.try_cast("int")
 
 
 def to_doubles(texts: Column) -> Column:
@@ -56,9 +56,9 @@ def tokens(
     Unlike :func:`split_fields` it is not positional: a dropped empty field moves every later
     one to the left.
     """
+    if min_length < 1:
+        raise ValueError("empty tokens are always dropped: min_length is at least 1")
     parts = F.split(F.lower(line) if lowercase else line, pattern, -1)
-    if min_length <= 0:
-        return parts
     if min_length == 1:  # only the empty token is that short, and array_remove is compiled
         return F.array_remove(parts, "")
     return F.filter(parts, lambda t: F.length(t) >= min_length)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.functions import vectors as V
+from linefit.functions.once import computed_once
 from linefit.operators import moments as M
 from linefit.operators.summary import vector_sum
 from linefit.sources.staging import write_table
@@ -127,8 +128,10 @@ def gradient_terms(
     df: DataFrame, weights, label: str = "label", features: str = "features"
 ) -> DataFrame:
     """Add ``gradient_term``, each row's part (w·x − y)·x of the gradient."""
-    term = V.scale(F.col(features), residual(weights, label, features))
-    return df.withColumn("gradient_term", term)
+    # A function over the elements would compute the residual anew for each of them.
+    rows = computed_once(df, {"_residual": residual(weights, label, features)})
+    term = V.scale(F.col(features), F.col("_residual"))
+    return rows.withColumn("gradient_term", term).drop("_residual")
 
 
 def gradient(

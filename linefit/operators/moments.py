@@ -119,9 +119,12 @@ def finite_rows(
 ) -> DataFrame:
     """The rows a model can be fitted on."""
     v = V.as_array(df, features)
-    w = width or feature_width(df, features)
-    finite = F.forall(v, lambda x: F.coalesce(x * 0.0 == 0.0, F.lit(False)))
-    return df.filter(_usable([F.col(label)]) & (F.size(v) == w) & finite)
+    width = width or feature_width(df, features)
+    if width <= V.WRITTEN_OUT:
+        usable = _usable([F.col(label), *[V.element(v, j) for j in range(width)]])
+    else:
+        usable = _usable([F.col(label)]) & F.forall(v, lambda x: _usable([x]))
+    return df.filter(usable & (F.size(v) == width))
 
 
 def collect_moments(

@@ -15,6 +15,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linefit.functions.once import computed_once
+
 HASH_RANGE = 1 << 32
 
 
@@ -37,11 +39,14 @@ def with_part(
     df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0, name: str = "part"
 ) -> DataFrame:
     """Add the number of the part each row belongs to, for use in one pass over all parts."""
+    bounds = cut_points(weights)[:-1]
     h = key_hash(keys, seed)
-    part = F.lit(len(weights) - 1)
-    for number, bound in reversed(list(enumerate(cut_points(weights)[:-1]))):
+    if len(bounds) > 1:
+        df, h = computed_once(df, {"_hash": h}), F.col("_hash")
+    part = F.lit(len(bounds))
+    for number, bound in reversed(list(enumerate(bounds))):
         part = F.when(h < bound, number).otherwise(part)
-    return df.withColumn(name, part)
+    return df.withColumn(name, part).drop("_hash")
 
 
 def hash_split(
@@ -49,8 +54,12 @@ def hash_split(
 ) -> list[DataFrame]:
     """The parts as separate tables."""
     h = key_hash(keys, seed)
-    bounds = [0, *cut_points(weights)]
-    return [df.filter((h >= low) & (h < high)) for low, high in zip(bounds, bounds[1:])]
+    bounds = cut_points(weights)
+    parts = [df.filter(h < bounds[0])]
+    for low, high in zip(bounds, bounds[1:-1]):
+        parts.append(computed_once(df, {"_hash": h}).filter(
+            F.col("_hash").between(low, high - 1)).drop("_hash"))
+    return parts + ([df.filter(h >= bounds[-2])] if len(bounds) > 1 else [])
 
 
 def fold_number(keys: Sequence[str], folds: int, seed: int = 0) -> Column:

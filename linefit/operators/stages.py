@@ -94,14 +94,25 @@ class LineTokenizer(_Stage):
 
 
 class ToNumbers(_Stage):
-    """Array of texts to array of doubles; what is not a number becomes null."""
+    """Array of texts to array of doubles; what is not a number becomes null.
+
+    With ``indices`` only the elements at those positions are read and kept.
+    """
+
+    indices = _param("indices", "0-based positions, all if unset", TypeConverters.toListInt)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None):
+    def __init__(self, *, inputCol=None, outputCol=None, indices=None):
         super().__init__(**self._input_kwargs)
 
     def _expression(self, df):
-        return X.to_doubles(F.col(self.getInputCol()))
+        texts = F.col(self.getInputCol())
+        if not self.isSet("indices"):
+            return X.to_doubles(texts)
+        return F.array(*[X.to_double(X.field(texts, i)) for i in self.getOrDefault("indices")])
+
+    def _width(self, df):
+        return len(self.getOrDefault("indices")) if self.isSet("indices") else None
 
 
 class VectorPicker(_Stage):

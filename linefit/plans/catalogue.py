@@ -110,7 +110,7 @@ def csv_headerless_songs(spark, folder):
     records = delimited.read_delimited(spark, path, names, header=False)
     fields = F.array(*names)
     return records.select(
-        X.to_year(X.field(fields, 0)).alias("year"),
+        X.whole(X.to_double(X.field(fields, 0))).alias("year"),
         *[rounded(X.to_double(X.field(fields, i))).alias(f"f{i}") for i in (1, 2, 3)],
     )
 
@@ -368,7 +368,7 @@ def gd_test_rmse(spark, folder):
 def gd_from_lines(spark, folder):
     """Lines → typed fields → shifted label → split → descent → errors, with the history."""
     lines = songs.good_lines(T.song_lines(spark, folder, T.LINE_KEYS))
-    rows = regression.prepared(lines, regression.line_stages())
+    rows = regression.prepared(lines, regression.number_stages("numbers"))
     model, errors = regression.gradient_descent(rows, T.LINE_KEYS)
     history = model.history_table(spark).select(
         F.lit("history").alias("series"), "iter", F.col("rmse").alias("value")

@@ -10,39 +10,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefit.functions import fields as X
+from linefit.functions.once import computed_once
 from linefit.operators import stages as S
 from linefit.operators.evaluate import rmse_table
 from linefit.operators.linear import GradientDescentRegression
+from linefit.operators.moments import finite_rows
 from linefit.operators.split import hash_split, with_part
 from linefit.operators.tuning import RidgeGridSearch
 from linefit.plans import fixed_values as K
 
 
-def vector_stages(
-    source: str, positions: Sequence[int], shift: S.LabelShift | S.MinimumLabelShift | None = None
+Shift = S.LabelShift | S.MinimumLabelShift
+
+
+def number_stages(
+    source: str, positions: Sequence[int] = tuple(K.FEATURE_FIELDS), shift: Shift | None = None
 ) -> list:
-    """Array of texts in ``source`` → ``label`` (shifted) and ``features``."""
+    """Numbers in ``source`` → ``label`` (shifted) and ``features``."""
     shift = shift or S.LabelShift(offset=float(K.FIRST_YEAR))
     return [
-        S.ToNumbers(inputCol=source, outputCol="numbers"),
-        S.VectorPicker(inputCol="numbers", outputCol="year_vector", indices=[K.LABEL_FIELD]),
+        S.VectorPicker(inputCol=source, outputCol="year_vector", indices=[K.LABEL_FIELD]),
         S.FirstElement(inputCol="year_vector", outputCol="year"),
         shift.copy()._set(inputCol="year", outputCol="label"),
-        S.VectorPicker(inputCol="numbers", outputCol="features", indices=list(positions)),
+        S.VectorPicker(inputCol=source, outputCol="features", indices=list(positions)),
     ]
 
 
-def line_stages(shift=None, tokenize: bool = False) -> list:
+def text_stages(
+    source: str, positions: Sequence[int] = tuple(K.FEATURE_FIELDS), shift: Shift | None = None
+) -> list:
+    """Array of texts in ``source`` → ``label`` and ``features``.
+
+    Only the fields in use are read as numbers.
+    """
+    used = [K.LABEL_FIELD, *positions]
+    return [
+        S.ToNumbers(inputCol=source, outputCol="numbers", indices=used),
+        *number_stages("numbers", range(1, len(used)), shift),
+    ]
+
+
+def line_stages(shift: Shift | None = None, tokenize: bool = False) -> list:
     """Line in ``value`` → ``label`` and ``features``.
 
     Fields keep their position unless ``tokenize`` asks for the tokenizer, which closes the
     gap an empty field leaves.
     """
     first = S.LineTokenizer if tokenize else S.FieldSplitter
-    return [
-        first(inputCol="value", outputCol="texts"),
-        *vector_stages("texts", K.FEATURE_FIELDS, shift),
-    ]
+    return [first(inputCol="value", outputCol="texts"), *text_stages("texts", shift=shift)]
 
 
 def prepare_lines(lines: DataFrame, tokenize: bool = False) -> PipelineModel:
@@ -120,9 +135,10 @@ def packed_songs(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def wide_csv_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Wide text records → ``label`` and ``features``; rows with a field that is no number
     are left out."""
-    rows = prepared(packed_songs(records, keep), vector_stages("values", K.CSV_FEATURE_FIELDS))
-    complete = ~F.exists("numbers", lambda x: x.isNull() | F.isnan(x))
-    return rows.filter(complete).select(*keep, "values", "label", "features")
+    numbers = F.array(*[X.to_double(F.get("values", F.lit(i))) for i in range(len(K.CSV_PACKED))])
+    rows = computed_once(packed_songs(records, keep), {"numbers": numbers})
+    prepared_rows = prepared(rows, number_stages("numbers", K.CSV_FEATURE_FIELDS))
+    return finite_rows(prepared_rows).select(*keep, "values", "label", "features")
 
 
 def wide_csv_regression(records: DataFrame, keys: Sequence[str] = ("values_text",)):

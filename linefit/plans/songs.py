@@ -16,20 +16,21 @@ from linefit.sources.memory import register_view
 NUMERIC = [K.LABEL_FIELD, *K.FEATURE_FIELDS]
 
 
-def _columns():
-    parts = F.col("fields")
-    names = [f"f{n}" for n, _ in enumerate(K.FEATURE_FIELDS, 1)]
-    return {
-        "year": X.to_year(X.field(parts, K.LABEL_FIELD)),
-        **{n: X.to_double(X.field(parts, i)) for n, i in zip(names, K.FEATURE_FIELDS)},
-    }
+def good_lines(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
+    """Lines that hold a song, with its year and features in ``numbers``."""
+    return text.good_lines(lines, NUMERIC, width)
 
 
 def songs_from_lines(
     lines: DataFrame, width: int | None = K.LINE_WIDTH, keep: Sequence[str] = ()
 ) -> DataFrame:
     """``year int, f1, f2, f3 double`` from the good lines."""
-    return text.parse_lines(lines, _columns(), NUMERIC, width, keep=keep)
+    numbers = F.col("numbers")
+    return good_lines(lines, width).select(
+        *keep,
+        X.whole(F.get(numbers, F.lit(0))).alias("year"),
+        *[F.get(numbers, F.lit(k)).alias(f"f{k}") for k in range(1, len(NUMERIC))],
+    )
 
 
 def rejected(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
@@ -68,9 +69,3 @@ def question_sql(view: str = "songs") -> dict[str, str]:
 def questions_by_sql(spark: SparkSession, songs: DataFrame, view: str = "songs"):
     register_view(songs, view)
     return {name: spark.sql(query) for name, query in question_sql(view).items()}
-
-
-def good_lines(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
-    """The lines, still as text, that :func:`songs_from_lines` would turn into rows."""
-    checked = text.with_reason(lines, NUMERIC, width)
-    return checked.filter(F.col(text.REASON).isNull()).drop("fields", text.REASON)

@@ -48,7 +48,11 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, name: str, header: str | None = None) -> str:
-    """Write the column ``value`` as text files, each starting with ``header`` if given."""
+    """Write the column ``value`` as text files, each starting with ``header`` if given.
+
+    With a header the lines pass through the CSV writer, which leaves blank ones out (as
+    readers of such files do).
+    """
     path = new_path(lines.sparkSession, name)
     if header is None:
         lines.select("value").write.text(path)

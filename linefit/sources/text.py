@@ -1,4 +1,4 @@
-"""Plain text lines and the typed rows parsed from them."""
+"""Plain text lines and the numbers in them."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.functions import fields as X
+from linefit.functions.once import computed_once
 
 LINE = "value"
 REASON = "reason"
@@ -24,41 +25,37 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def with_reason(
     lines: DataFrame, numeric: Sequence[int], width: int | None = None, separator: str = ","
 ) -> DataFrame:
-    """Add ``fields`` and ``reason``; a null reason marks a good line.
+    """Add ``numbers``, the fields at the positions ``numeric``, and ``reason``; a null reason
+    marks a good line.
 
     ``width`` is the exact number of fields; None asks only that the numeric ones exist.
     """
-    parts = F.col("fields")
+    parts, numbers = F.col("fields"), F.col("numbers")
     wrong_width = (
         F.size(parts) <= max(numeric) if width is None else F.size(parts) != width
     )
-    unreadable = reduce(or_, [X.to_double(X.field(parts, i)).isNull() for i in numeric])
-    return lines.withColumn("fields", X.split_fields(F.col(LINE), separator)).withColumn(
+    unreadable = reduce(or_, [F.get(numbers, F.lit(k)).isNull() for k in range(len(numeric))])
+    split = computed_once(lines, {"fields": X.split_fields(F.col(LINE), separator)})
+    read = {"numbers": F.array(*[X.to_double(X.field(parts, i)) for i in numeric])}
+    return computed_once(split, read).withColumn(
         REASON,
         F.when(F.coalesce(F.trim(LINE) == "", F.lit(True)), EMPTY)
         .when(wrong_width, WIDTH)
         .when(unreadable, BAD_NUMBER),
-    )
+    ).drop("fields")
 
 
-def parse_lines(
-    lines: DataFrame,
-    columns: dict[str, Column],
-    numeric: Sequence[int],
-    width: int | None = None,
-    separator: str = ",",
-    keep: Sequence[str] = (),
+def good_lines(
+    lines: DataFrame, numeric: Sequence[int], width: int | None = None, separator: str = ","
 ) -> DataFrame:
-    """Good lines as typed columns; ``columns`` maps names to expressions over ``fields``."""
+    """The good lines, with their ``numbers``."""
     checked = with_reason(lines, numeric, width, separator)
-    return checked.filter(F.col(REASON).isNull()).select(
-        *keep, *[c.alias(n) for n, c in columns.items()]
-    )
+    return checked.filter(F.col(REASON).isNull()).drop(REASON)
 
 
 def rejected_lines(
     lines: DataFrame, numeric: Sequence[int], width: int | None = None, separator: str = ","
 ) -> DataFrame:
-    """The lines :func:`parse_lines` leaves out, with the reason."""
+    """The lines :func:`good_lines` leaves out, with the reason."""
     checked = with_reason(lines, numeric, width, separator)
-    return checked.filter(F.col(REASON).isNotNull()).drop("fields")
+    return checked.filter(F.col(REASON).isNotNull()).drop("numbers")
