@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 FOLDER = "/root/testdata/sf0.001"
+GROUPS = count()
 
 
 @pytest.fixture(scope="session")
@@ -34,10 +35,8 @@ def folder():
 @pytest.fixture
 def jobs_of(spark):
     """Run a function and return its result with the number of Spark jobs it started."""
-    numbers = count()
-
     def run(function):
-        group = f"group-{next(numbers)}"
+        group = f"group-{next(GROUPS)}"
         spark.sparkContext.setJobGroup(group, "counted")
         try:
             result = function()
