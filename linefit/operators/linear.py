@@ -190,28 +190,22 @@ class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsW
         label, features = self.getLabelCol(), self.getFeaturesCol()
         width = M.feature_width(df, features)
         if width <= M.WIDE:
-            rows = M.collect_moments(df, label, features, width=width)[None]
+            return self.fit_moments(M.collect_moments(df, label, features, width=width)[None])
+        narrow = df.select(V.as_array(df, features).alias(features), F.col(label).alias(label))
+        table = write_table(narrow, "training-rows")
 
-            def loss(w):
-                return rows.n, rows.rmse(w), rows.gradient(w)
+        def loss(w):
+            n, squares, g = M.squared_loss(table, w, label, features)
+            return n, np.sqrt(squares / n), g
 
-        else:
-            table = write_table(
-                df.select(
-                    V.as_array(df, features).alias(features), F.col(label).alias(label)
-                ),
-                "training-rows",
-            )
+        return self._descend(loss, width)
 
-            def loss(w):
-                n, squares, g = M.squared_loss(table, w, label, features)
-                return n, np.sqrt(squares / n), g
+    def fit_moments(self, rows: M.Moments) -> GradientDescentModel:
+        """The model for rows already summed up, without another pass."""
+        return self._descend(lambda w: (rows.n, rows.rmse(w), rows.gradient(w)), rows.width)
 
-        weights, history, final = self._descend(loss, np.zeros(width))
-        return GradientDescentModel(weights, history, final)._columns_from(self)
-
-    def _descend(self, loss, weights):
-        history = []
+    def _descend(self, loss, width: int) -> GradientDescentModel:
+        weights, history = np.zeros(width), []
         n, error, g = loss(weights)
         for i in range(self.getOrDefault("numIterations")):
             history.append(error)
@@ -224,7 +218,7 @@ class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsW
                     f"gradient descent diverged at update {i}: scale the features into [0, 1] "
                     "or take a smaller stepSize"
                 )
-        return weights, history, error
+        return GradientDescentModel(weights, history, error)._columns_from(self)
 
 
 # --- ridge --------------------------------------------------------------------------------

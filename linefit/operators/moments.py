@@ -75,6 +75,12 @@ class Moments:
         offset = c @ self.mean - intercept
         return float(np.sqrt(max(spread, 0.0) + offset**2))
 
+    def is_certain(self, weights: np.ndarray, certain: float = 1e-6) -> bool:
+        """Whether :meth:`rmse` has enough digits: not so where a fit is near perfect and the
+        error is the small difference of large sums."""
+        c = np.append(-np.asarray(weights, dtype=float), 1.0)
+        return bool(c @ self.products @ c > certain * (abs(c) @ abs(self.products) @ abs(c)))
+
     def gradient(self, weights: np.ndarray) -> np.ndarray:
         """Sum over the rows of (w·x − y)·x, without intercept."""
         c = np.append(np.asarray(weights, dtype=float), -1.0)

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from linefit.functions.once import computed_once
 
 HASH_RANGE = 1 << 32
+DIGITS = 8
+SIDE, FOLD = 1, DIGITS + 1  # where in the digest the digits for either purpose start
 
 
-def key_hash(keys: Sequence[str], seed: int | str = 0) -> Column:
-    """32-bit number from the MD5 of ``seed:key|key…``; a null key counts as empty text."""
+def key_digest(keys: Sequence[str], seed: int | str = 0) -> Column:
+    """MD5 of ``seed:key|key…`` in hexadecimal; a null key counts as empty text."""
     text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("|", *text)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("|", *text)))
 
 
 def cut_points(weights: Sequence[float]) -> list[int]:
@@ -35,33 +36,38 @@ def cut_points(weights: Sequence[float]) -> list[int]:
     return [round(HASH_RANGE * w / total) for w in accumulate(weights)][:-1] + [HASH_RANGE]
 
 
+def _below(digits: Column, bound: int) -> Column:
+    """Hexadecimal digits compare as text in the order of the numbers they stand for."""
+    return F.lit(True) if bound == HASH_RANGE else digits < F.lit(f"{bound:0{DIGITS}x}")
+
+
+def _part(digits: Column, weights: Sequence[float]) -> Column:
+    bounds = cut_points(weights)
+    part = F.lit(len(bounds) - 1)
+    for number, bound in reversed(list(enumerate(bounds[:-1]))):
+        part = F.when(_below(digits, bound), number).otherwise(part)
+    return part
+
+
 def with_part(
     df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0, name: str = "part"
 ) -> DataFrame:
     """Add the number of the part each row belongs to, for use in one pass over all parts."""
-    bounds = cut_points(weights)[:-1]
-    h = key_hash(keys, seed)
-    if len(bounds) > 1:
-        df, h = computed_once(df, {"_hash": h}), F.col("_hash")
-    part = F.lit(len(bounds))
-    for number, bound in reversed(list(enumerate(bounds))):
-        part = F.when(h < bound, number).otherwise(part)
-    return df.withColumn(name, part).drop("_hash")
+    digest = key_digest(keys, seed)
+    if len(weights) <= 2:  # a single comparison
+        return df.withColumn(name, _part(digest, weights))
+    hashed = computed_once(df, {"_digest": digest})
+    return hashed.withColumn(name, _part(F.col("_digest"), weights)).drop("_digest")
 
 
 def hash_split(
     df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0
 ) -> list[DataFrame]:
     """The parts as separate tables."""
-    h = key_hash(keys, seed)
-    bounds = cut_points(weights)
-    parts = [df.filter(h < bounds[0])]
-    for low, high in zip(bounds, bounds[1:-1]):
-        parts.append(computed_once(df, {"_hash": h}).filter(
-            F.col("_hash").between(low, high - 1)).drop("_hash"))
-    return parts + ([df.filter(h >= bounds[-2])] if len(bounds) > 1 else [])
+    numbered = with_part(df, weights, keys, seed, "_part")
+    return [numbered.filter(F.col("_part") == i).drop("_part") for i in range(len(weights))]
 
 
 def fold_number(keys: Sequence[str], folds: int, seed: int = 0) -> Column:
-    """Cross-validation fold from the key, independent of :func:`hash_split`."""
-    return (key_hash(keys, f"fold:{seed}") % folds).cast("int")
+    """Cross-validation fold, from other digits of the same digest as the part."""
+    return _part(F.substring(key_digest(keys, seed), FOLD, DIGITS), [1] * folds)

@@ -118,7 +118,12 @@ class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
         )
 
     def _fit(self, df: DataFrame) -> RidgeGridModel:
-        folds = M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol(), by=self._fold())
+        return self.fit_moments(
+            M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol(), by=self._fold())
+        )
+
+    def fit_moments(self, folds: dict) -> RidgeGridModel:
+        """The model for folds already summed up, without another pass."""
         grid = parameter_grid(self.getOrDefault("regParams"), self.getOrDefault("maxIters"))
         errors = grid_errors(folds, grid)
         means = [

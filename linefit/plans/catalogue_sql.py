@@ -53,9 +53,18 @@ def rounded(expression: str, name: str, places: int = 6) -> str:
     return f"round({expression}, {places}) + 0.0::DOUBLE AS {name}"
 
 
-def hashed(seed: int | str, keys: Sequence[str] = ("l_orderkey", "l_linenumber")) -> str:
+def hashed(
+    seed: int, keys: Sequence[str] = ("l_orderkey", "l_linenumber"), start: int = 1
+) -> str:
     text = " || '|' || ".join(f"{k}::VARCHAR" for k in keys)
-    return f"('0x' || substr(md5('{seed}:' || {text}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5('{seed}:' || {text}), {start}, 8))::BIGINT"
+
+
+def fold(seed: int) -> str:
+    h = hashed(seed, start=9)
+    cuts = [bound(k / K.FOLDS) for k in range(1, K.FOLDS)]
+    whens = " ".join(f"WHEN {h} < {c} THEN {k}" for k, c in enumerate(cuts))
+    return f"CASE {whens} ELSE {len(cuts)} END::INT"
 
 
 def bound(share: float) -> int:
@@ -190,7 +199,7 @@ def products_of(source: str = "data") -> str:
 def cross_validation(source: str, width: int, seed: int = 0) -> str:
     """``fold_errors`` per fold and strength, and ``winner`` with the best strength."""
     return f"""
-folded AS (SELECT *, ({hashed(f'fold:{seed}')} % {K.FOLDS})::INT AS fold FROM {source}),
+folded AS (SELECT *, {fold(seed)} AS fold FROM {source}),
 {moments('folded', width, 'fold')},
 {training(width, 'o.fold <> f.fold')},
 {ridge(width)},

@@ -66,3 +66,46 @@ def test_elastic_net_is_optimal(spark, folder):
             assert s + np.sign(v) * strength * share == pytest.approx(0, abs=1e-4)
         else:
             assert abs(s) <= strength * share + 1e-4
+
+
+@pytest.mark.parametrize("program", [
+    regression.gradient_descent, regression.tuned_ridge, regression.tuned_degree_two_ridge,
+])
+def test_fit_and_errors_take_one_job_and_equal_the_scored_rows(spark, folder, jobs_of, program):
+    rows = T.charge_rows(spark, folder)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        (model, errors), jobs = jobs_of(lambda: program(rows, T.LINE_KEYS))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert jobs == 1
+    if program is regression.tuned_degree_two_ridge:
+        rows = regression.S.DegreeTwo(inputCol="features", outputCol="products").transform(rows)
+    seed = 0 if program is regression.gradient_descent else K.TUNING_SEED
+    scored = regression._errors(model, rows, K.SPLIT_9_1, T.LINE_KEYS, seed)
+    a, b = ({r.side: r.value for r in t.collect()} for t in (errors, scored))
+    assert a.keys() == b.keys() == {"train", "test"}
+    assert a == pytest.approx(b, rel=1e-9)
+
+
+def test_errors_of_a_perfect_fit_come_from_the_rows(spark):
+    rows = spark.range(2000).selectExpr(
+        "id", "array(id / 2000, 1.0D) as features", "id / 4000 + 0.25D as label"
+    )
+    model, errors = regression.gradient_descent(rows, ["id"])
+    exact = regression._errors(model, rows, K.SPLIT_9_1, ["id"], 0)
+    a, b = ({r.side: r.value for r in t.collect()} for t in (errors, exact))
+    assert a == pytest.approx(b, rel=1e-6)
+
+
+def test_wide_descent_program(spark, folder, monkeypatch):
+    from linefit.operators import moments
+
+    rows = T.price_rows(spark, folder)
+    expected, errors = regression.gradient_descent(rows, T.LINE_KEYS)
+    monkeypatch.setattr(moments, "WIDE", 2)
+    monkeypatch.setattr(regression, "WIDE", 2)
+    monkeypatch.setattr(K, "GRADIENT_ITERATIONS", 3)
+    model, wide_errors = regression.gradient_descent(rows, T.LINE_KEYS)
+    np.testing.assert_allclose(model.history, expected.history[:3], rtol=1e-9)
+    assert wide_errors.count() == errors.count() == 2
