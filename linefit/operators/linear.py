@@ -131,7 +131,9 @@ def gradient_terms(
     # A function over the elements would compute the residual anew for each of them.
     rows = computed_once(df, {"_residual": residual(weights, label, features)})
     term = V.scale(F.col(features), F.col("_residual"))
-    return rows.withColumn("gradient_term", term).drop("_residual")
+    width = len(weights)
+    named = term.alias("gradient_term", metadata=V.width_metadata(width))
+    return rows.withColumn("gradient_term", named).drop("_residual")
 
 
 def gradient(
@@ -221,15 +223,18 @@ class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsW
         return GradientDescentModel(weights, history, error)._columns_from(self)
 
 
-# --- ridge --------------------------------------------------------------------------------
+# --- ridge and elastic net ----------------------------------------------------------------
+
+SWEEPS = 100_000
+SWEEP_TOLERANCE = 1e-12
 
 
 class RidgePath:
-    """Ridge solutions for any strength from one set of moments.
+    """Ridge and elastic-net solutions for any strength from one set of moments.
 
     Features and label are standardised, the strength is taken in units of the label's
     deviation and the intercept is free, as in MLlib's normal-equation solver. One
-    eigendecomposition serves every strength.
+    eigendecomposition serves every ridge strength.
     """
 
     def __init__(self, rows: M.Moments):
@@ -240,20 +245,39 @@ class RidgePath:
         inverse = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
         correlation = rows.products / rows.n * np.outer(inverse, inverse)
         self.deviation, self.inverse = deviation, inverse
+        self.correlation = correlation
         self.values, self.basis = np.linalg.eigh(correlation[:-1, :-1])
         self.along = self.basis.T @ correlation[:-1, -1]
 
-    def solve(self, strength: float) -> tuple[np.ndarray, float]:
+    def solve(self, strength: float, l1_share: float = 0.0) -> tuple[np.ndarray, float]:
         """Weights and intercept; a constant feature or label gets weight zero."""
-        label_deviation = self.deviation[-1]
-        if label_deviation == 0.0:
+        if self.deviation[-1] == 0.0:
             return np.zeros(len(self.values)), float(self.mean[-1])
-        shifted = self.values + strength / label_deviation
-        usable = shifted > 1e-12 * max(shifted.max(initial=0.0), 1e-300)
-        scaled = np.divide(self.along, shifted, out=np.zeros_like(shifted), where=usable)
-        weights = (self.basis @ scaled) * label_deviation * self.inverse[:-1]
+        relative = strength / self.deviation[-1]
+        scaled = self._sparse(relative, l1_share) if l1_share else self._ridge(relative)
+        weights = scaled * self.deviation[-1] * self.inverse[:-1]
         return weights, float(self.mean[-1] - weights @ self.mean[:-1])
 
+    def _ridge(self, strength: float) -> np.ndarray:
+        shifted = self.values + strength
+        usable = shifted > 1e-12 * max(shifted.max(initial=0.0), 1e-300)
+        along = np.divide(self.along, shifted, out=np.zeros_like(shifted), where=usable)
+        return self.basis @ along
+
+    def _sparse(self, strength: float, l1_share: float) -> np.ndarray:
+        """Coordinate descent: each weight in turn takes its best value given the others."""
+        matrix, target = self.correlation[:-1, :-1], self.correlation[:-1, -1]
+        absolute, square = strength * l1_share, strength * (1 - l1_share)
+        w = np.zeros(len(target))
+        for _ in range(SWEEPS):
+            before = w.copy()
+            for j in np.flatnonzero(self.inverse[:-1]):
+                pull = target[j] - matrix[j] @ w + matrix[j, j] * w[j]
+                w[j] = np.sign(pull) * max(abs(pull) - absolute, 0.0) / (matrix[j, j] + square)
+            if np.abs(w - before).max(initial=0.0) <= SWEEP_TOLERANCE:
+                return w
+        raise ArithmeticError(f"elastic net did not settle within {SWEEPS} sweeps")
+
 
 class _RidgeParams(Params):
     regParam = Param(Params._dummy(), "regParam", "ridge strength", TypeConverters.toFloat)
@@ -299,6 +323,40 @@ class RidgeRegression(Predictor, _RidgeParams, DefaultParamsReadable, DefaultPar
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> RidgeModel:
-        rows = M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol())[None]
-        weights, intercept = RidgePath(rows).solve(self.getRegParam())
+        return self.fit_moments(
+            M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol())[None]
+        )
+
+    def fit_moments(self, rows: M.Moments) -> RidgeModel:
+        """The model for rows already summed up, without another pass."""
+        weights, intercept = RidgePath(rows).solve(self.getRegParam(), self._l1_share())
         return RidgeModel(weights, intercept, rows.rmse(weights, intercept))._columns_from(self)
+
+    def _l1_share(self) -> float:
+        return 0.0
+
+
+class ElasticNetRegression(RidgeRegression):
+    """Elastic net from one aggregate, solved until the weights settle.
+
+    MLlib's solver, which stops after ``maxIter`` steps, comes to the same weights when its
+    limit lets it converge.
+    """
+
+    elasticNetParam = Param(
+        Params._dummy(), "elasticNetParam", "share of the absolute penalty",
+        TypeConverters.toFloat,
+    )
+
+    @keyword_only
+    def __init__(
+        self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
+        regParam=0.0, elasticNetParam=0.0, maxIter=100,
+    ):
+        kwargs = self._input_kwargs
+        super().__init__()
+        self._setDefault(elasticNetParam=0.0)
+        self._set(**kwargs)
+
+    def _l1_share(self) -> float:
+        return self.getOrDefault("elasticNetParam")

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linefit.functions import vectors as V
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("count"))
@@ -44,16 +46,25 @@ def squared_error_sum(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.sum(error * error).alias("squared_error_sum"))
 
 
-def vector_sum(df: DataFrame, vector: Column | str, by: Sequence[str] = ()) -> DataFrame:
+def vector_sum(
+    df: DataFrame, vector: str, by: Sequence[str] = (), width: int | None = None
+) -> DataFrame:
     """Element-wise sum as rows ``(*by, idx, value)``.
 
-    Elements become rows and are summed per position; the partial sums of a task number
-    (groups × width) whatever the number of vectors. Vectors of different widths are added as
-    if the shorter ones ended in zeros; :func:`widths` tells whether that happens.
+    Short vectors of known width (given, or in the column's metadata) are summed position by
+    position and only the sums become rows. Otherwise the elements become rows and are summed
+    per position; the partial sums of a task number (groups × width) whatever the number of
+    vectors, and vectors of different widths are added as if the shorter ones ended in zeros
+    (:func:`widths` tells whether that happens).
     """
-    v = F.col(vector) if isinstance(vector, str) else vector
+    width = width or V.known_width(df, vector)
+    if width is not None and width <= V.WRITTEN_OUT:
+        sums = [F.sum(V.element(F.col(vector), j)) for j in range(width)]
+        summed = df.groupBy(*by).agg(F.count("*").alias("_rows"), F.array(*sums).alias("_sums"))
+        rows = summed.filter(F.col("_rows") > 0)
+        return rows.select(*by, F.posexplode("_sums").alias("idx", "value"))
     return (
-        df.select(*by, F.posexplode(v).alias("idx", "element"))
+        df.select(*by, F.posexplode(vector).alias("idx", "element"))
         .groupBy(*by, "idx")
         .agg(F.sum("element").alias("value"))
     )

@@ -37,6 +37,7 @@ QUERIES: dict[str, Query] = {}
 
 SCORE_WEIGHTS = [0.5, 0.25, 0.125]
 PART_AGE_BOUND = 40
+EMBEDDING_WIDTH = 64
 
 
 def query(build: Query) -> Query:
@@ -48,21 +49,24 @@ def rounded(c: Column | str, places: int = 6) -> Column:
     return T.plain(F.round(c, places))
 
 
-def exploded(df: DataFrame, vector: Column, *keep: str) -> DataFrame:
-    return df.select(*keep, F.posexplode(vector).alias("idx", "value"))
-
-
-def by_index(df: DataFrame, vector: Column) -> DataFrame:
+def by_index(df: DataFrame, vector: str, width: int) -> DataFrame:
     """Count, sum and largest element per vector position."""
-    return (
-        exploded(df, vector)
-        .groupBy("idx")
-        .agg(
-            F.count("value").alias("count"),
-            rounded(F.sum("value")).alias("total"),
-            rounded(F.max("value")).alias("largest"),
-        )
-    )
+
+    def measures(x: Column) -> list[Column]:
+        return [
+            F.count(x).alias("count"),
+            rounded(F.sum(x)).alias("total"),
+            rounded(F.max(x)).alias("largest"),
+        ]
+
+    if width > V.WRITTEN_OUT:  # so many aggregates would take longer to compile than to run
+        elements = df.select(F.posexplode(vector).alias("idx", "value"))
+        return elements.groupBy("idx").agg(*measures(F.col("value")))
+    positions = [
+        F.struct(F.lit(j).alias("idx"), *measures(V.element(F.col(vector), j)))
+        for j in range(width)
+    ]
+    return df.agg(F.array(*positions).alias("positions")).select(F.inline("positions"))
 
 
 # --- summaries ----------------------------------------------------------------------------
@@ -166,7 +170,10 @@ def bank_lines_by_position(spark, folder):
 @query
 def wide_select_drop_pack(spark, folder):
     packed = regression.packed_songs(T.wide_records(spark, folder))
-    return by_index(packed, X.to_doubles(F.col("values")))
+    return by_index(
+        packed.select(X.to_doubles(F.col("values")).alias("numbers")), "numbers",
+        len(K.CSV_PACKED),
+    )
 
 
 # --- feature preparation ------------------------------------------------------------------
@@ -190,7 +197,7 @@ def tokens_to_numbers(spark, folder):
         S.ToNumbers(inputCol="texts", outputCol="numbers"),
     ]
     lines = T.song_lines(spark, folder)
-    return by_index(PipelineModel(stages).transform(lines), F.col("numbers"))
+    return by_index(PipelineModel(stages).transform(lines), "numbers", K.LINE_WIDTH)
 
 
 @query
@@ -238,7 +245,7 @@ def poly2_column_sums(spark, folder):
     rows = S.DegreeTwo(inputCol="features", outputCol="products").transform(
         T.price_rows(spark, folder)
     )
-    return by_index(rows, F.col("products"))
+    return by_index(rows, "products", V.degree_two_width(3))
 
 
 # --- vectors ------------------------------------------------------------------------------
@@ -248,13 +255,16 @@ def poly2_column_sums(spark, folder):
 def vector_scale_add_fill(spark, folder):
     rows = T.embedding_rows(spark, folder)
     v = F.col("features")
-    return by_index(rows, V.add(V.scale(v, 2.0), V.fill(F.size(v), 1.0)))
+    return by_index(
+        rows.select(V.add(V.scale(v, 2.0), V.fill(F.size(v), 1.0)).alias("moved")),
+        "moved", EMBEDDING_WIDTH,
+    )
 
 
 @query
 def embedding_dot_score(spark, folder):
     rows = T.embedding_rows(spark, folder)
-    weights = [(j % 5 - 2) / 10 for j in range(64)]
+    weights = [(j % 5 - 2) / 10 for j in range(EMBEDDING_WIDTH)]
     v = F.col("features")
     return rows.select(
         "vec_id",
@@ -475,7 +485,13 @@ def poly_ridge_cv_errors(spark, folder):
 @query
 def elastic_net_errors(spark, folder):
     _, errors = regression.elastic_net(T.charge_rows(spark, folder), T.LINE_KEYS)
-    return errors.select("side", "metric", rounded("value", 4).alias("value"))
+    return errors.select("side", "metric", rounded("value").alias("value"))
+
+
+@query
+def elastic_net_weights(spark, folder):
+    model, _ = regression.elastic_net(T.charge_rows(spark, folder), T.LINE_KEYS)
+    return model.weights_table(spark).withColumn("value", rounded("value"))
 
 
 @query
@@ -484,12 +500,25 @@ def elastic_net_predictions(spark, folder):
     model, _ = regression.elastic_net(rows, T.LINE_KEYS)
     _, test = hash_split(rows, K.SPLIT_7_3, T.LINE_KEYS)
     return model.transform(test).select(
-        *T.LINE_KEYS, rounded("label", 8).alias("label"), rounded("prediction", 3).alias("prediction")
+        *T.LINE_KEYS,
+        rounded("label", 12).alias("label"),
+        rounded("prediction").alias("prediction"),
     )
 
 
+@query
+def elastic_net_errors_mllib(spark, folder):
+    """MLlib stops within its tolerance, so fewer places are compared."""
+    _, errors = regression.elastic_net_by_mllib(T.charge_rows(spark, folder), T.LINE_KEYS)
+    return errors.select("side", "metric", rounded("value", 4).alias("value"))
+
+
 @query
 def wide_csv_regression(spark, folder):
     path = staging.write_lines(T.wide_lines(spark, folder), "wide-csv", T.CSV_HEADER)
-    _, errors = regression.wide_csv_regression(delimited.read_delimited(spark, path))
-    return errors.select("side", "metric", rounded("value", 4).alias("value"))
+    model, errors = regression.wide_csv_regression(delimited.read_delimited(spark, path))
+    weights = model.weights_table(spark).select(
+        F.concat(F.lit("weight "), F.col("idx")).alias("name"), "value"
+    )
+    named = errors.select(F.concat_ws(" ", "side", "metric").alias("name"), "value")
+    return named.union(weights).withColumn("value", rounded("value"))

@@ -49,6 +49,19 @@ WIDE = """wide AS (
   FROM orders)"""
 
 
+# The same as text, the way the file has it.
+WIDE_TEXT = """wide AS (
+  SELECT o_orderpriority AS artist,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN '0'
+              WHEN o_orderstatus = 'P' THEN ''
+              WHEN o_orderstatus = 'F' THEN year(o_orderdate) || '.5'
+              ELSE year(o_orderdate)::VARCHAR END AS y,
+         [(o_totalprice / 500000)::VARCHAR, (o_orderkey % 12)::VARCHAR,
+          ((o_custkey % 100) / 100.0::DOUBLE)::VARCHAR, month(o_orderdate)::VARCHAR,
+          (day(o_orderdate) % 7)::VARCHAR, ((o_orderkey % 97) / 97.0::DOUBLE)::VARCHAR] AS t
+  FROM orders)"""
+
+
 def rounded(expression: str, name: str, places: int = 6) -> str:
     return f"round({expression}, {places}) + 0.0::DOUBLE AS {name}"
 
@@ -182,6 +195,47 @@ scaled AS (
 ridge AS (SELECT fold, reg, w, mean_y - {dot('w', 'mean_x')} AS intercept FROM scaled)"""
 
 
+def elastic_net(width: int) -> str:
+    """``elastic``: weights w and intercept, from ``training``.
+
+    Coordinate descent on the standardised problem, one coordinate per step of the recursion.
+    """
+
+    def covariance(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"(q{i}_{j} / n - s{i} / n * s{j} / n)"
+
+    sd = ", ".join(f"sqrt({covariance(i, i)}) AS d{i}" for i in range(width + 1))
+    lines = ", ".join(
+        "[" + ", ".join(f"{covariance(i, j)} / (d{i} * d{j})" for j in range(width)) + "]"
+        for i in range(width)
+    )
+    sides = ", ".join(f"{covariance(i, width)} / (d{i} * d{width})" for i in range(width))
+    scales = ", ".join(f"d{width} / d{i}" for i in range(width))
+    means = ", ".join(f"s{i} / n" for i in range(width))
+    strength, share = K.ELASTIC_NET["regParam"], K.ELASTIC_NET["elasticNetParam"]
+    pull = f"(b[i] - {dot('g[i]', 'w')} + g[i][i] * v)"
+    return f"""
+deviations AS (SELECT *, {sd} FROM training),
+problem AS MATERIALIZED (
+  SELECT [{lines}] AS g, [{sides}] AS b, [{scales}] AS scales, s{width} / n AS mean_y,
+         [{means}] AS mean_x, {strength * share}::DOUBLE / d{width} AS absolute,
+         {strength * (1 - share)}::DOUBLE / d{width} AS square
+  FROM deviations),
+sweeps AS (
+  SELECT 0 AS step, list_resize([]::DOUBLE[], {width}, 0.0::DOUBLE) AS w
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda v, i:
+           CASE WHEN i = step % {width} + 1
+                THEN sign({pull}) * greatest(abs({pull}) - absolute, 0) / (g[i][i] + square)
+                ELSE v END)
+  FROM sweeps, problem WHERE step < {100 * width}),
+unscaled AS (
+  SELECT mean_y, mean_x, list_transform(scales, lambda v, i: v * w[i]) AS w
+  FROM sweeps, problem WHERE step = {100 * width}),
+elastic AS (SELECT w, mean_y - {dot('w', 'mean_x')} AS intercept FROM unscaled)"""
+
+
 RESIDUAL_RMSE = f"sqrt(avg((y - intercept - {dot('w', 'x')}) ** 2))"
 GRID = "(VALUES " + ", ".join(f"({i}, {v})" for i, v in enumerate(K.MAX_ITERS)) + ")"
 STRENGTH_ORDER = "list_position([" + ", ".join(map(str, K.REG_PARAMS)) + "]::DOUBLE[], reg)"
@@ -218,8 +272,10 @@ def refit(source: str, width: int) -> str:
 SELECT reg, w, intercept FROM ridge)"""
 
 
-def sides(source: str, share: float, seed: int) -> str:
-    h = hashed(seed)
+def sides(
+    source: str, share: float, seed: int, keys: Sequence[str] = ("l_orderkey", "l_linenumber")
+) -> str:
+    h = hashed(seed, keys)
     return (
         f"sided AS (SELECT *, CASE WHEN {h} < {bound(share)} THEN 'train' ELSE 'test' END "
         f"AS side FROM {source})"
@@ -444,7 +500,44 @@ FROM mean_errors, {GRID} g(k, it)""",
     }
 
 
+def _elastic_nets() -> dict[str, str]:
+    def fitted(prefix, width, seed, keys=("l_orderkey", "l_linenumber")):
+        return f"""WITH RECURSIVE {prefix}, {sides('data', 0.7, seed, keys)},
+train AS (SELECT * FROM sided WHERE side = 'train'),
+{moments('train', width, '1')}, {training(width, 'true')}, {elastic_net(width)}"""
+
+    charge = fitted(CHARGE, 3, 0)
+
+    def errors(places):
+        return f"""{charge}
+SELECT side, 'rmse' AS metric, {rounded(RESIDUAL_RMSE, 'value', places)}
+FROM sided, elastic GROUP BY side"""
+
+    # Rows of the CSV file are told apart by their text, as it is written there.
+    csv = f"""{WIDE_TEXT},
+data AS (
+  SELECT y::DOUBLE - {K.FIRST_YEAR} AS y, list_transform(t, lambda e: e::DOUBLE) AS x,
+         y || ',' || array_to_string(t, ',') AS text
+  FROM wide WHERE try_cast(y AS DOUBLE) > 0 AND artist NOT IN ('1-URGENT', '5-LOW'))"""
+    return {
+        "elastic_net_errors": errors(6),
+        "elastic_net_errors_mllib": errors(4),
+        "elastic_net_weights": f"""{charge}
+SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
+        "elastic_net_predictions": f"""{charge}
+SELECT l_orderkey, l_linenumber, {rounded('y', 'label', 12)},
+  {rounded(dot('w', 'x') + ' + intercept', 'prediction')}
+FROM sided, elastic WHERE side = 'test'""",
+        "wide_csv_regression": f"""{fitted(csv, 6, K.CSV_SEED, ('text',))}
+SELECT side || ' rmse' AS name, {rounded(RESIDUAL_RMSE, 'value')}
+FROM sided, elastic GROUP BY side
+UNION ALL
+SELECT 'weight ' || i, {rounded('w[i + 1]', 'value')} FROM elastic, range(6) AS r(i)""",
+    }
+
+
 def twins() -> dict[str, str]:
     return {
         **_questions(), **_texts(), **_features(), **_errors(), **_descents(), **_ridges(),
+        **_elastic_nets(),
     }

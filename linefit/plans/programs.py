@@ -11,7 +11,6 @@ from linefit.operators import stages as S
 from linefit.plans import bank, regression, songs
 from linefit.plans import fixed_values as K
 from linefit.sources import delimited, text
-from linefit.sources.memory import from_rows
 
 Tables = dict[str, DataFrame]
 Program = Callable[[SparkSession, str], Tables]
@@ -75,11 +74,7 @@ def descent(spark: SparkSession, path: str) -> Tables:
 def wide_csv(spark: SparkSession, path: str) -> Tables:
     records = delimited.read_delimited(spark, path).select(*K.CSV_COLUMNS)
     model, errors = regression.wide_csv_regression(records)
-    fitted = regression.fitted_regression(model)
-    weights = from_rows(
-        spark, [(i, float(w)) for i, w in enumerate(fitted.coefficients)], "idx int, value double"
-    )
-    return {"errors": errors, "weights": weights}
+    return {"errors": errors, "weights": model.weights_table(spark)}
 
 
 def bank_ages(spark: SparkSession, path: str) -> Tables:

@@ -14,9 +14,11 @@ from linefit.functions.once import computed_once
 from linefit.operators import stages as S
 from linefit.operators.evaluate import rmse_table
 from linefit.operators.linear import (
+    ElasticNetRegression,
     GradientDescentModel,
     GradientDescentRegression,
     LinearModel,
+    RidgeModel,
 )
 from linefit.operators.moments import (
     WIDE,
@@ -93,10 +95,20 @@ def _errors(model, df: DataFrame, weights, keys, seed) -> DataFrame:
 
 
 def elastic_net(
+    df: DataFrame, keys: Sequence[str], weights=tuple(K.SPLIT_7_3), seed: int = 0
+) -> tuple[RidgeModel, DataFrame]:
+    """Elastic net on the training part and error on both parts, in one scan."""
+    sides = _sides(df, keys, weights, seed)
+    model = ElasticNetRegression(**K.ELASTIC_NET).fit_moments(sides["train"])
+    return model, _errors_from_moments(model, sides, df, weights, keys, seed)
+
+
+def elastic_net_by_mllib(
     df: DataFrame, keys: Sequence[str], weights=tuple(K.SPLIT_7_3), seed: int = 0,
     max_iter: int = K.ELASTIC_NET_ITERATIONS,
 ) -> tuple[PipelineModel, DataFrame]:
-    """MLlib's elastic-net regression on prepared rows; it needs one pass to fit as well."""
+    """The same by MLlib's solver, for whoever needs the weights after exactly ``max_iter``
+    of its steps; fit and errors are a pass each."""
     regression = LinearRegression(
         featuresCol="vector", maxIter=max_iter, **K.ELASTIC_NET
     )
@@ -106,6 +118,15 @@ def elastic_net(
     return model, _errors(model, df, weights, keys, seed)
 
 
+def _sides(df: DataFrame, keys, weights, seed, width: int | None = None) -> dict[str, Moments]:
+    """Moments of the training and the test part, from one scan."""
+    parted = with_part(df, weights, keys, seed)
+    groups = collect_moments(parted, by=F.col("part"), width=width)
+    if 0 not in groups:
+        raise ValueError("no rows to fit on")
+    return {name: groups[g] for g, name in ((0, "train"), (1, "test")) if g in groups}
+
+
 def _errors_from_moments(
     model: LinearModel, sides: dict[str, Moments], df: DataFrame, weights, keys, seed
 ) -> DataFrame:
@@ -160,11 +181,7 @@ def gradient_descent(
         train, _ = hash_split(df, K.SPLIT_9_1, keys, seed)
         model = estimator.fit(train)
         return model, _errors(model, df, K.SPLIT_9_1, keys, seed)
-    parted = with_part(df, K.SPLIT_9_1, keys, seed)
-    groups = collect_moments(parted, by=F.col("part"), width=width)
-    sides = {n: groups[g] for g, n in ((0, "train"), (1, "test")) if g in groups}
-    if "train" not in sides:
-        raise ValueError("no rows to fit on")
+    sides = _sides(df, keys, K.SPLIT_9_1, seed, width)
     model = estimator.fit_moments(sides["train"])
     return model, _errors_from_moments(model, sides, df, K.SPLIT_9_1, keys, seed)
 
@@ -188,12 +205,13 @@ def wide_csv_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     numbers = F.array(*[X.to_double(F.get("values", F.lit(i))) for i in range(len(K.CSV_PACKED))])
     rows = computed_once(packed_songs(records, keep), {"numbers": numbers})
     prepared_rows = prepared(rows, number_stages("numbers", K.CSV_FEATURE_FIELDS))
-    return finite_rows(prepared_rows).select(*keep, "values", "label", "features")
+    key = F.concat_ws(",", "values").alias("values_text")
+    return finite_rows(prepared_rows).select(*keep, key, "label", "features")
 
 
-def wide_csv_regression(records: DataFrame, keys: Sequence[str] = ("values_text",)):
-    rows = wide_csv_rows(records).withColumn("values_text", F.concat_ws(",", "values"))
-    return elastic_net(rows, keys, K.SPLIT_7_3, K.CSV_SEED, K.CSV_ELASTIC_NET_ITERATIONS)
+def wide_csv_regression(records: DataFrame) -> tuple[RidgeModel, DataFrame]:
+    """Elastic net on the needed columns; the packed values are the key of a row."""
+    return elastic_net(wide_csv_rows(records), ["values_text"], K.SPLIT_7_3, K.CSV_SEED)
 
 
 def fitted_regression(model: PipelineModel) -> LinearRegressionModel:

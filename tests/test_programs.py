@@ -48,28 +48,33 @@ def test_bank(spark, folder):
     assert ages == sorted(ages) and max(ages) < K.AGE_BOUND
 
 
-def test_elastic_net_is_optimal(spark, folder):
+@pytest.mark.parametrize("by_mllib", [False, True])
+def test_elastic_net_is_optimal(spark, folder, by_mllib):
     """The penalised gradient vanishes for used features and is small for the others."""
     rows = T.charge_rows(spark, folder)
-    model, _ = regression.elastic_net(rows, T.LINE_KEYS, max_iter=100)
     train = regression.hash_split(rows, K.SPLIT_7_3, T.LINE_KEYS)[0]
     data = train.select("features", "label").toPandas()
     x, y = np.array(data.features.tolist()), data.label.to_numpy()
-    z = (x - x.mean(axis=0)) / x.std(axis=0)
-    t = (y - y.mean()) / y.std()
-    fitted = regression.fitted_regression(model)
-    w = fitted.coefficients.toArray() * x.std(axis=0) / y.std()
+    if by_mllib:
+        model, _ = regression.elastic_net_by_mllib(rows, T.LINE_KEYS, max_iter=100)
+        coefficients, near = regression.fitted_regression(model).coefficients.toArray(), 1e-4
+    else:
+        model, _ = regression.elastic_net(rows, T.LINE_KEYS)
+        coefficients, near = model.weights, 1e-9
+    w = coefficients * x.std(axis=0) / y.std()
+    z, t = (x - x.mean(axis=0)) / x.std(axis=0), (y - y.mean()) / y.std()
     strength, share = K.ELASTIC_NET["regParam"] / y.std(), K.ELASTIC_NET["elasticNetParam"]
     slope = z.T @ (z @ w - t) / len(y) + strength * (1 - share) * w
     for s, v in zip(slope, w):
         if v:
-            assert s + np.sign(v) * strength * share == pytest.approx(0, abs=1e-4)
+            assert s + np.sign(v) * strength * share == pytest.approx(0, abs=near)
         else:
-            assert abs(s) <= strength * share + 1e-4
+            assert abs(s) <= strength * share + near
 
 
 @pytest.mark.parametrize("program", [
     regression.gradient_descent, regression.tuned_ridge, regression.tuned_degree_two_ridge,
+    regression.elastic_net,
 ])
 def test_fit_and_errors_take_one_job_and_equal_the_scored_rows(spark, folder, jobs_of, program):
     rows = T.charge_rows(spark, folder)
@@ -81,8 +86,10 @@ def test_fit_and_errors_take_one_job_and_equal_the_scored_rows(spark, folder, jo
     assert jobs == 1
     if program is regression.tuned_degree_two_ridge:
         rows = regression.S.DegreeTwo(inputCol="features", outputCol="products").transform(rows)
-    seed = 0 if program is regression.gradient_descent else K.TUNING_SEED
-    scored = regression._errors(model, rows, K.SPLIT_9_1, T.LINE_KEYS, seed)
+    tuned = program in (regression.tuned_ridge, regression.tuned_degree_two_ridge)
+    weights = K.SPLIT_7_3 if program is regression.elastic_net else K.SPLIT_9_1
+    seed = K.TUNING_SEED if tuned else 0
+    scored = regression._errors(model, rows, weights, T.LINE_KEYS, seed)
     a, b = ({r.side: r.value for r in t.collect()} for t in (errors, scored))
     assert a.keys() == b.keys() == {"train", "test"}
     assert a == pytest.approx(b, rel=1e-9)
