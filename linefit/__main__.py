@@ -1,7 +1,7 @@
-"""``spark-submit … -m linefit PROGRAM PATH``: run a program and print its tables.
+"""Run a program over a file and print its tables, or write them with ``--output``.
 
-Master, memory and everything else come from spark-submit; with ``--output`` the tables are
-written as parquet instead of printed.
+``python -m linefit PROGRAM PATH`` or ``spark-submit … submit.py PROGRAM PATH``; master, memory
+and everything else come from there.
 """
 
 from __future__ import annotations

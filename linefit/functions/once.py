@@ -15,6 +15,9 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     the filter: splitting a line and reading its numbers would run once for every mention. It
     leaves a projection alone that has a non-deterministic column, so one is added here (the
     partition number, constant within a task) and used in an always true condition.
+
+    No later filter passes this point: conditions on partition columns or on other columns a
+    scan could use belong before the call.
     """
     marked = df.withColumns({**columns, _MARK: F.spark_partition_id()})
     return marked.filter(F.col(_MARK) >= 0).drop(_MARK)

@@ -33,6 +33,7 @@ from linefit.functions import vectors as V
 
 NARROW = 9
 WIDE = 2000
+BRANCHES = 256
 # Below this share of the squared mean a variance has lost too many digits to be trusted.
 CANCELLED = 1e-5
 
@@ -212,9 +213,11 @@ def _batch_reader(width: int):
 
 
 def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -> dict:
-    """Each task adds up (1, z)ᵀ(1, z) per group; row i of the matrix travels as one vector.
+    """Each task adds up (1, z)ᵀ(1, z) per group; row i of the matrix travels as one vector,
+    from its diagonal element on (the matrix is symmetric).
 
-    Row 0 is (count, sums); an extra row −1 counts the unusable rows.
+    Row 0 is (count, sums); an extra row −1 counts the unusable rows. A task sends width²/2
+    numbers per group however many rows it read, so larger input splits make this cheaper.
     """
 
     kind = rows.schema["group"].dataType.simpleString()
@@ -224,11 +227,11 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
     group_type = pa.string() if kind == "string" else pa.int64()
     read = _batch_reader(width)
 
-    def vectors(groups, index, matrix) -> pa.RecordBatch:
+    def vectors(group, index, lines) -> pa.RecordBatch:
         columns = [
-            pa.array(groups, group_type),
+            pa.array([group] * len(lines), group_type),
             pa.array(index, pa.int32()),
-            pa.array(list(matrix), pa.list_(pa.float64())),
+            pa.array(lines, pa.list_(pa.float64())),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["group", "i", "row"])
 
@@ -249,9 +252,9 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
                 part = augmented[codes == code]
                 matrices[g] = matrices.get(g, 0.0) + part.T @ part
         if bad:
-            yield vectors([None], [-1], np.array([[float(bad)]]))
+            yield vectors(None, [-1], [np.array([float(bad)])])
         for g, matrix in matrices.items():
-            yield vectors([g] * len(matrix), range(len(matrix)), matrix)
+            yield vectors(g, range(len(matrix)), [line[i:] for i, line in enumerate(matrix)])
 
     table = (
         rows.mapInArrow(partial, f"group {kind}, i int, row array<double>")
@@ -263,8 +266,10 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
     bad = sum(int(round(r["row"][0])) for r in table if r["i"] == -1)
     matrices: dict = {}
     for r in table:
-        if r["i"] >= 0:
-            matrices.setdefault(r["group"], np.empty((width + 2, width + 2)))[r["i"]] = r["row"]
+        i = r["i"]
+        if i >= 0:
+            matrix = matrices.setdefault(r["group"], np.empty((width + 2, width + 2)))
+            matrix[i, i:] = matrix[i:, i] = r["row"]
     counted = {g: int(round(m[0, 0])) for g, m in matrices.items()}
     _raise_bad(bad, bad + sum(counted.values()))
     return {
@@ -275,7 +280,11 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
 def squared_loss(
     rows: DataFrame, weights: np.ndarray, label: str = "label", features: str = "features"
 ) -> tuple[int, float, np.ndarray]:
-    """Row count, sum of squared errors and gradient for given weights, at any width."""
+    """Row count, sum of squared errors and gradient for given weights, at any width.
+
+    The tasks' gradients are added in two steps, so that no single task has to take in one
+    from each of them.
+    """
     w = np.asarray(weights, dtype=float)
     read = _batch_reader(len(w))
 
@@ -293,7 +302,9 @@ def squared_loss(
     )
     total = (
         narrow.mapInArrow(partial, "row array<double>")
+        .groupBy((F.spark_partition_id() % BRANCHES).alias("branch"))
         .agg(Summarizer.sum(array_to_vector("row")).alias("row"))
+        .agg(Summarizer.sum(F.col("row")).alias("row"))
         .first()["row"]
         .toArray()
     )

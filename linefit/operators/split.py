@@ -15,8 +15,6 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefit.functions.once import computed_once
-
 HASH_RANGE = 1 << 32
 DIGITS = 8
 SIDE, FOLD = 1, DIGITS + 1  # where in the digest the digits for either purpose start
@@ -53,11 +51,7 @@ def with_part(
     df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0, name: str = "part"
 ) -> DataFrame:
     """Add the number of the part each row belongs to, for use in one pass over all parts."""
-    digest = key_digest(keys, seed)
-    if len(weights) <= 2:  # a single comparison
-        return df.withColumn(name, _part(digest, weights))
-    hashed = computed_once(df, {"_digest": digest})
-    return hashed.withColumn(name, _part(F.col("_digest"), weights)).drop("_digest")
+    return df.withColumn(name, _part(key_digest(keys, seed), weights))
 
 
 def hash_split(

@@ -26,21 +26,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder, removed when the session's JVM ends."""
-    path = f"{shared_folder(spark)}/linefit/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/linefit/{name}-{uuid.uuid4().hex}"
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the written folder removed when the session's JVM ends.
+
+    A remote (Connect) client has no JVM of its own and leaves the folder in place.
+    """
     jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:  # a remote (Connect) client has none and leaves the folder in place
+    if jvm is not None:
         target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(
-            target
-        )
-    return path
+        hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+        target.getFileSystem(hadoop).deleteOnExit(target)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as parquet and read back: a short lineage that outlives executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    remove_at_exit(df.sparkSession, path)
     fresh = df.sparkSession.read.schema(df.schema).parquet(path)
     return fresh.select(
         *[F.col(f.name).alias(f.name, metadata=f.metadata) for f in df.schema.fields]
@@ -61,4 +67,5 @@ def write_lines(lines: DataFrame, name: str, header: str | None = None) -> str:
             path, header=True, sep=_NO_SEPARATOR, quote=_NO_QUOTE, escape=_NO_QUOTE,
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="",
         )
+    remove_at_exit(lines.sparkSession, path)
     return path
