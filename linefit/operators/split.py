@@ -23,7 +23,8 @@ SIDE, FOLD = 1, DIGITS + 1  # where in the digest the digits for either purpose
 def key_digest(keys: Sequence[str], seed: int | str = 0) -> Column:
     """MD5 of ``seed:key|key…`` in hexadecimal; a null key counts as empty text."""
     text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("|", *text)))
+    separators = [F.lit(f"{seed}:"), *[F.lit("|")] * (len(keys) - 1)]
+    return F.md5(F.concat(*[part for pair in zip(separators, text) for part in pair]))
 
 
 def cut_points(weights: Sequence[float]) -> list[int]:

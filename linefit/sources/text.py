@@ -31,11 +31,13 @@ def with_reason(
     ``width`` is the exact number of fields; None asks only that the numeric ones exist.
     """
     parts, numbers = F.col("fields"), F.col("numbers")
-    wrong_width = (
-        F.size(parts) <= max(numeric) if width is None else F.size(parts) != width
-    )
+    needed = max(numeric) + 1
+    if width is None:
+        cut, wrong_width = X.split_fields(F.col(LINE), separator, needed), F.size(parts) < needed
+    else:
+        cut, wrong_width = X.split_fields(F.col(LINE), separator), F.size(parts) != width
     unreadable = reduce(or_, [F.get(numbers, F.lit(k)).isNull() for k in range(len(numeric))])
-    split = computed_once(lines, {"fields": X.split_fields(F.col(LINE), separator)})
+    split = computed_once(lines, {"fields": cut})
     read = {"numbers": F.array(*[X.to_double(X.field(parts, i)) for i in numeric])}
     return computed_once(split, read).withColumn(
         REASON,

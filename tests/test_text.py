@@ -54,8 +54,10 @@ def test_every_line_is_accepted_or_rejected(spark):
 
 
 def test_without_width_only_the_used_fields_count(spark):
-    table = lines(spark, "2001,1,2,3,anything,else", "2001,1,2")
-    assert songs.songs_from_lines(table, None).count() == 1
+    table = lines(spark, "2001,1,2,3,anything,else", "2001,1,2,3", "2001,1,2", "2001,1,2,3,")
+    found = songs.songs_from_lines(table, None).collect()
+    assert [tuple(r) for r in found] == [(2001, 1.0, 2.0, 3.0)] * 3
+    assert [r.value for r in songs.rejected(table, None).collect()] == ["2001,1,2"]
 
 
 def test_line_is_split_once(spark):
@@ -79,6 +81,11 @@ def test_null_line_gives_null_tokens(spark):
     assert lines(spark, None).select(X.tokens(F.col("value"))).first()[0] is None
 
 
+def test_first_fields_only(spark):
+    first = X.split_fields(F.col("value"), ",", 2)
+    assert lines(spark, "a,b,c,d").select(first).first()[0] == ["a", "b", "c,d"]
+
+
 @pytest.mark.parametrize("separator", [",", ";", "|", ".", "||", "^"])
 def test_separator_is_literal(spark, separator):
     line = separator.join(["a", "b", "c"])
