@@ -34,6 +34,7 @@ from linefit.functions import vectors as V
 NARROW = 9
 WIDE = 2000
 BRANCHES = 256
+PIECE = 2_000_000
 # Below this share of the squared mean a variance has lost too many digits to be trusted.
 CANCELLED = 1e-5
 
@@ -141,7 +142,8 @@ def collect_moments(
     by: Column | None = None,
     width: int | None = None,
 ) -> dict:
-    """Moments per value of ``by`` (one entry, None, without it).
+    """Moments per value of ``by`` (one entry, None, without it), which has to be a column of
+    few values such as a fold: the driver receives width² numbers for each.
 
     The sums start from zero. Where a column turns out to vary little around a large mean,
     they are taken a second time around the means found, which keeps all digits.
@@ -190,24 +192,31 @@ def _narrow_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool)
 
 
 def _batch_reader(width: int):
-    """Function from an Arrow batch to its usable rows (features…, label) as a matrix, their
-    positions in the batch, and the number of other rows.
+    """Function over Arrow batches: for each piece of a batch its usable rows (features…,
+    label) as a matrix, their positions in the piece, and the number of other rows.
 
-    It is an inner function so that tasks receive its code and need not have this package
-    installed.
+    Pieces hold at most ``PIECE`` numbers, which bounds a task's memory at any width. It is an
+    inner function so that tasks receive its code and need not have this package installed.
     """
+    length = max(1, PIECE // width)
 
-    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
-        vectors = batch.column("x")
+    def rows_of(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
+        vectors = piece.column("x")
         sizes = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
         fits = sizes == width
         if not fits.all():
             vectors = vectors.filter(pa.array(fits))
         x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        y = batch.column("y").to_numpy(zero_copy_only=False).astype(float)[fits]
+        y = piece.column("y").to_numpy(zero_copy_only=False).astype(float)[fits]
         z = np.column_stack([x, y])
         good = np.isfinite(z).all(axis=1)
-        return z[good], np.flatnonzero(fits)[good], batch.num_rows - int(good.sum())
+        return z[good], np.flatnonzero(fits)[good], piece.num_rows - int(good.sum())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, length):
+                piece = batch.slice(start, length)
+                yield piece, *rows_of(piece)
 
     return read
 
@@ -238,8 +247,7 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrices: dict = {}
         bad = 0
-        for batch in batches:
-            z, position, unusable = read(batch)
+        for batch, z, position, unusable in read(batches):
             bad += unusable
             augmented = np.column_stack([np.ones(len(z)), z - origin])
             if not grouped:
@@ -290,8 +298,7 @@ def squared_loss(
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(w) + 3)
-        for batch in batches:
-            z, _, unusable = read(batch)
+        for _, z, _, unusable in read(batches):
             error = z[:, :-1] @ w - z[:, -1]
             total[:3] += len(z), unusable, error @ error
             total[3:] += error @ z[:, :-1]

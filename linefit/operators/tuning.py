@@ -88,7 +88,7 @@ class RidgeGridModel(RidgeModel):
 class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
     """Fit with the grid entry of lowest mean held-out error; ties go to the earliest entry.
 
-    Folds are the values of ``foldCol`` if set, else derived from ``keyCols``.
+    Folds are the values of ``foldCol`` (0 … numFolds − 1) if set, else derived from ``keyCols``.
     """
 
     regParams = Param(Params._dummy(), "regParams", "strengths", TypeConverters.toListFloat)
@@ -110,7 +110,10 @@ class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fold(self):
         if self.isSet("foldCol"):
-            return F.col(self.getOrDefault("foldCol")).cast("int")
+            fold = F.col(self.getOrDefault("foldCol")).cast("int")
+            folds = self.getOrDefault("numFolds")
+            outside = F.raise_error(F.lit(f"fold numbers must be in 0 … {folds - 1}"))
+            return F.when(fold.between(0, folds - 1), fold).otherwise(outside)
         if not self.isSet("keyCols"):
             raise ValueError("set foldCol or keyCols")
         return fold_number(

@@ -92,6 +92,17 @@ def test_empty_table(spark, width):
         M.collect_moments(df, width=width)
 
 
+def test_small_pieces_change_nothing(spark, data, monkeypatch):
+    x, y, g = data
+    df = table(spark, x, y, g)
+    monkeypatch.setattr(M, "NARROW", 0)
+    monkeypatch.setattr(M, "PIECE", 12)
+    for k, found in M.collect_moments(df, by=F.col("g")).items():
+        assert_equal(found, x[g == k], y[g == k])
+    n, squares, _ = M.squared_loss(df, np.zeros(4))
+    assert n == 60 and squares == pytest.approx(float(y @ y))
+
+
 def test_too_wide(spark):
     df = spark.createDataFrame([([0.0], 1.0)], "features array<double>, label double")
     with pytest.raises(ValueError, match="too wide"):

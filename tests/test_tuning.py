@@ -78,6 +78,12 @@ def test_lopsided_folds(spark, rows):
     assert len(model.errors) == 98
 
 
+@pytest.mark.parametrize("fold", ["3", "-1", "null"])
+def test_fold_out_of_range(rows, fold):
+    with pytest.raises(Exception, match="fold numbers must be in"):
+        search(foldCol="fold").fit(rows.withColumn("fold", F.expr(fold).cast("int")))
+
+
 def test_one_fold_is_refused(rows):
     with pytest.raises(ValueError, match="two folds"):
         search(foldCol="fold").fit(rows.withColumn("fold", F.lit(0)))
