@@ -140,6 +140,11 @@ def lines_rejected_per_reason(spark, folder):
     )
 
 
+@query
+def line_counts(spark, folder):
+    return songs.counted_lines(T.damaged_song_lines(spark, folder))
+
+
 @query
 def csv_drop_malformed(spark, folder):
     path = staging.write_lines(T.wide_lines(spark, folder), "wide-csv", T.CSV_HEADER)

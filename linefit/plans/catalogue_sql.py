@@ -348,6 +348,11 @@ def _texts() -> dict[str, str]:
 SELECT CASE WHEN l_linenumber = 5 THEN 'empty' WHEN l_linenumber = 4 THEN 'bad_number'
             ELSE 'width' END AS reason, count(*) AS count
 FROM lineitem WHERE l_linenumber >= 4 GROUP BY 1""",
+        "line_counts": """
+SELECT CASE WHEN l_linenumber = 5 THEN 'empty' WHEN l_linenumber = 4 THEN 'bad_number'
+            WHEN l_linenumber > 5 THEN 'width' END AS reason,
+       CASE WHEN l_linenumber < 4 THEN year(l_shipdate) END::INT AS year, count(*) AS count
+FROM lineitem GROUP BY 1, 2""",
         "csv_drop_malformed": (
             'SELECT o_orderpriority AS "ArtistName", count(*) AS count FROM orders '
             "WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') GROUP BY 1"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.functions import fields as X
@@ -21,6 +21,10 @@ def good_lines(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
     return text.good_lines(lines, NUMERIC, width)
 
 
+def _year() -> Column:
+    return X.whole(F.get("numbers", F.lit(0)))
+
+
 def songs_from_lines(
     lines: DataFrame, width: int | None = K.LINE_WIDTH, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -28,7 +32,7 @@ def songs_from_lines(
     numbers = F.col("numbers")
     return good_lines(lines, width).select(
         *keep,
-        X.whole(F.get(numbers, F.lit(0))).alias("year"),
+        _year().alias("year"),
         *[F.get(numbers, F.lit(k)).alias(f"f{k}") for k in range(1, len(NUMERIC))],
     )
 
@@ -49,6 +53,33 @@ def questions(songs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def counted_lines(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
+    """``(reason, year, count)``: all the questions ask, and the rejects, from one scan."""
+    checked = text.with_reason(lines, NUMERIC, width)
+    year = F.when(F.col(text.REASON).isNull(), _year())
+    return checked.groupBy(text.REASON, year.alias("year")).agg(F.count("*").alias("count"))
+
+
+def questions_from_counts(counts: DataFrame) -> dict[str, DataFrame]:
+    """The answers of :func:`questions` and the rejects, from a table of counts."""
+    songs = counts.filter(F.col(text.REASON).isNull())
+    rows, year = F.sum("count"), F.col("year")
+    total = F.coalesce(rows, F.lit(0)).alias("count")
+    dated = songs.filter(year.isNotNull())
+    return {
+        "song_count": songs.agg(total),
+        "song_count_1998_2000": dated.filter(year.between(*K.YEARS_COUNTED)).agg(total),
+        "year_min_max_avg": dated.agg(
+            F.min("year").alias("min"), F.max("year").alias("max"),
+            (F.sum(year.cast("double") * F.col("count")) / rows).alias("avg"),
+        ),
+        "songs_per_year": dated.filter(year.between(*K.YEARS_LISTED)).select("year", "count"),
+        "rejected_lines": counts.filter(F.col(text.REASON).isNotNull()).select(
+            text.REASON, "count"
+        ),
+    }
+
+
 def question_sql(view: str = "songs") -> dict[str, str]:
     """The same questions as SQL text over a registered view."""
     (a, b), (c, d) = K.YEARS_COUNTED, K.YEARS_LISTED

@@ -30,6 +30,23 @@ def test_programs_over_song_lines(spark, song_file):
     assert programs.descent(spark, song_file)["history"].count() == 100
 
 
+def test_summary_from_one_scan_equals_the_questions(spark, folder):
+    from linefit.plans import songs
+
+    lines = T.damaged_song_lines(spark, folder)
+    lines = lines.union(spark.createDataFrame([("NaN" + ",1" * 12,)], "value string"))
+    one = songs.questions_from_counts(songs.counted_lines(lines))
+    each = songs.questions(songs.songs_from_lines(lines))
+    for name, table in each.items():
+        a, b = (sorted(tuple(r) for r in t.collect()) for t in (one[name], table))
+        assert [pytest.approx(r) for r in b] == a, name
+    rejects = {r.reason: r["count"] for r in one["rejected_lines"].collect()}
+    assert sum(rejects.values()) == songs.rejected(lines).count() and len(rejects) == 3
+    empty = songs.questions_from_counts(songs.counted_lines(lines.limit(0)))
+    assert empty["song_count"].first()[0] == 0
+    assert tuple(empty["year_min_max_avg"].first()) == (None, None, None)
+
+
 def test_damaged_lines_do_not_stop_a_program(spark, folder):
     path = staging.write_lines(T.damaged_song_lines(spark, folder), "damaged")
     assert programs.descent(spark, path)["errors"].count() == 2
