@@ -51,7 +51,7 @@ WIDE = """wide AS (
 
 # The same as text, the way the file has it.
 WIDE_TEXT = """wide AS (
-  SELECT o_orderpriority AS artist,
+  SELECT o_orderpriority AS artist, o_orderkey AS number, o_orderstatus AS id,
          CASE WHEN o_orderpriority = '2-HIGH' THEN '0'
               WHEN o_orderstatus = 'P' THEN ''
               WHEN o_orderstatus = 'F' THEN year(o_orderdate) || '.5'
@@ -522,7 +522,7 @@ FROM sided, elastic GROUP BY side"""
     csv = f"""{WIDE_TEXT},
 data AS (
   SELECT y::DOUBLE - {K.FIRST_YEAR} AS y, list_transform(t, lambda e: e::DOUBLE) AS x,
-         y || ',' || array_to_string(t, ',') AS text
+         number, id, y || ',' || array_to_string(t, ',') AS text
   FROM wide WHERE try_cast(y AS DOUBLE) > 0 AND artist NOT IN ('1-URGENT', '5-LOW'))"""
     return {
         "elastic_net_errors": errors(6),
@@ -533,7 +533,7 @@ SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r
 SELECT l_orderkey, l_linenumber, {rounded('y', 'label', 12)},
   {rounded(dot('w', 'x') + ' + intercept', 'prediction')}
 FROM sided, elastic WHERE side = 'test'""",
-        "wide_csv_regression": f"""{fitted(csv, 6, K.CSV_SEED, ('text',))}
+        "wide_csv_regression": f"""{fitted(csv, 6, K.CSV_SEED, ('number', 'id', 'text'))}
 SELECT side || ' rmse' AS name, {rounded(RESIDUAL_RMSE, 'value')}
 FROM sided, elastic GROUP BY side
 UNION ALL

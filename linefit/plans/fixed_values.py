@@ -26,6 +26,7 @@ CSV_COLUMNS = [
     "KeySignature", "KeySignatureConfidence", "Tempo", "TimeSignature",
     "TimeSignatureConfidence", "Title",
 ]
+CSV_IDENTITY = ["SongNumber", "SongID"]
 CSV_DROPPED = [
     "SongNumber", "SongID", "AlbumID", "AlbumName", "ArtistID", "ArtistLatitude",
     "ArtistLocation", "ArtistLongitude", "ArtistName", "Danceability", "Title",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from linefit.operators import stages as S
@@ -36,7 +37,7 @@ def song_summary(spark: SparkSession, path: str) -> Tables:
 def song_features(spark: SparkSession, path: str) -> Tables:
     lines = songs.good_lines(text.read_lines(spark, path))
     shift = regression.number_stages("numbers", shift=S.MinimumLabelShift())
-    rows = regression.Pipeline(stages=shift).fit(lines).transform(lines)
+    rows = Pipeline(stages=shift).fit(lines).transform(lines)
     return {"rows": _preview(rows, "features", "label")}
 
 

@@ -33,7 +33,6 @@ from linefit.operators.tuning import RidgeGridModel, RidgeGridSearch
 from linefit.plans import fixed_values as K
 from linefit.sources.memory import from_rows
 
-
 Shift = S.LabelShift | S.MinimumLabelShift
 
 
@@ -195,8 +194,11 @@ def packed_songs(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     The year is compared as a number, before the columns are packed away.
     """
     known = records.filter(X.to_double(F.col("Year")) > 0)
-    narrow = known.select(*keep, *K.CSV_COLUMNS).drop(*K.CSV_DROPPED)
-    return narrow.select(*keep, F.array(*K.CSV_PACKED).alias("values"))
+    kept = [F.col(k).alias(f"kept_{k}") for k in keep]  # by another name, so drop spares them
+    narrow = known.select(*kept, *K.CSV_COLUMNS).drop(*K.CSV_DROPPED)
+    return narrow.select(
+        *[F.col(f"kept_{k}").alias(k) for k in keep], F.array(*K.CSV_PACKED).alias("values")
+    )
 
 
 def wide_csv_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -209,9 +211,12 @@ def wide_csv_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return finite_rows(prepared_rows).select(*keep, key, "label", "features")
 
 
-def wide_csv_regression(records: DataFrame) -> tuple[RidgeModel, DataFrame]:
-    """Elastic net on the needed columns; the packed values are the key of a row."""
-    return elastic_net(wide_csv_rows(records), ["values_text"], K.SPLIT_7_3, K.CSV_SEED)
+def wide_csv_regression(
+    records: DataFrame, identity: Sequence[str] = tuple(K.CSV_IDENTITY)
+) -> tuple[RidgeModel, DataFrame]:
+    """Elastic net on the needed columns; identity and packed values are the key of a row."""
+    rows = wide_csv_rows(records, identity)
+    return elastic_net(rows, [*identity, "values_text"], K.SPLIT_7_3, K.CSV_SEED)
 
 
 def fitted_regression(model: PipelineModel) -> LinearRegressionModel:
