@@ -221,3 +221,34 @@ def test_pipeline_from_text_to_model(spark, folder):
     assert model.stages[-1] is fitted and len(fitted.history) == 5
     assert rmse(model.transform(lines)) == pytest.approx(fitted.final_rmse)
     assert model.transform(lines).select(F.count("prediction")).first()[0] == 6000
+
+
+def test_estimators_survive_saving(spark, tmp_path):
+    from linefit.operators.linear import ElasticNetRegression
+    from linefit.operators.tuning import RidgeGridSearch
+
+    estimators = [
+        GradientDescentRegression(numIterations=7, stepSize=0.5, labelCol="l"),
+        RidgeRegression(regParam=0.3, featuresCol="f"),
+        ElasticNetRegression(regParam=0.3, elasticNetParam=0.2),
+        RidgeGridSearch(regParams=[0.1, 0.2], maxIters=[3], keyCols=["k"], seed=4),
+    ]
+    for i, estimator in enumerate(estimators):
+        estimator.save(str(tmp_path / str(i)))
+        again = type(estimator).load(str(tmp_path / str(i)))
+        assert {p.name: v for p, v in again.extractParamMap().items()} == {
+            p.name: v for p, v in estimator.extractParamMap().items()
+        }
+
+
+def test_elastic_net_without_absolute_penalty_is_ridge(spark, numbers):
+    from linefit.operators.linear import ElasticNetRegression
+
+    rows = table(spark, *numbers)
+    ridge = RidgeRegression(regParam=0.2).fit(rows)
+    net = ElasticNetRegression(regParam=0.2).fit(rows)
+    assert net.weights.tolist() == ridge.weights.tolist()
+    nearly = ElasticNetRegression(regParam=0.2, elasticNetParam=1e-9).fit(rows)
+    np.testing.assert_allclose(nearly.weights, ridge.weights, rtol=1e-6)
+    nothing = ElasticNetRegression(regParam=50.0, elasticNetParam=1.0).fit(rows)
+    assert nothing.weights.tolist() == [0.0, 0.0, 0.0]

@@ -57,3 +57,15 @@ def test_cut_points(weights):
 def test_weights_must_be_positive():
     with pytest.raises(ValueError):
         cut_points([0.5, 0.0])
+
+
+def test_hot_key_stays_whole(spark):
+    """A third of the rows are copies of one line: they move together, none is lost."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "copy").otherwise(F.col("id").cast("string")).alias("value")
+    )
+    parts = hash_split(rows, [0.7, 0.3], ["value"])
+    copies = sorted(p.filter("value = 'copy'").count() for p in parts)
+    assert copies == [0, 3000] and sum(p.count() for p in parts) == 9000
+    others = [p.filter("value <> 'copy'").count() / 6000 for p in parts]
+    assert others == pytest.approx([0.7, 0.3], abs=0.03)
