@@ -21,9 +21,12 @@ LEAST_SCORE = 0.4
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those that are ``und`` or of no clear language go.
 
-    The network learns from the labelled rows of ``docs`` that op5 may learn from.
+    The network learns from the labelled rows of ``docs`` that op5 may learn from. If there are
+    none, only documents without a letter go.
     """
     network = byte_cnn.learn(docs, F.col("doc_id").isNotNull() & ~queries.held_out())
+    if network is None:
+        return docs.where(F.col("text").rlike("\\p{L}"))
     found = byte_cnn.predict(docs, network)
     clear = (F.col("_language") != byte_cnn.UNKNOWN) & (F.col("_share") >= LEAST_SCORE)
     return found.where(clear).select(*docs.columns)

@@ -19,8 +19,8 @@ def clustered(n, width, seed, centres=40):
 
 
 ODD = [
-    (901, None), (902, [0.0] * 16), (903, [float("nan")] + [1.0] * 15), (904, [float("inf")] + [1.0] * 15),
-    (905, [None] + [1.0] * 15), (906, [1.0, 2.0]), (907, []),
+    (90001, None), (90002, [0.0] * 16), (90003, [float("nan")] + [1.0] * 15), (90004, [float("inf")] + [1.0] * 15),
+    (90005, [None] + [1.0] * 15), (90006, [1.0, 2.0]), (90007, []),
 ]
 
 
