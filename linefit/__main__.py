@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from linefit.plans.programs import PROGRAMS
+from linefit.plans.programs import PROGRAMS, SPLITTING
 
 SHOWN = 100
 
@@ -20,14 +20,24 @@ def main() -> None:
     parser.add_argument("program", choices=sorted(PROGRAMS))
     parser.add_argument("path", help="input file or folder")
     parser.add_argument("--output", help="folder to write each table to, as parquet")
+    parser.add_argument(
+        "--per-row", action="store_true",
+        help="split by a draw for each row, not by the line's text (which keeps equal lines together)",
+    )
     arguments = parser.parse_args()
+    if arguments.per_row and arguments.program not in SPLITTING:
+        parser.error(f"--per-row is for {', '.join(SPLITTING)}")
+    more = {"keys": None} if arguments.per_row else {}
     spark = SparkSession.builder.appName(f"linefit {arguments.program}").getOrCreate()
-    for name, table in PROGRAMS[arguments.program](spark, arguments.path).items():
+    for name, table in PROGRAMS[arguments.program](spark, arguments.path, **more).items():
         if arguments.output:
             table.write.parquet(f"{arguments.output}/{name}")
         else:
             print(name)
-            table.show(SHOWN, truncate=False)
+            rows = table.limit(SHOWN + 1).collect()
+            spark.createDataFrame(rows[:SHOWN], table.schema).show(SHOWN, truncate=False)
+            if len(rows) > SHOWN:
+                print(f"… and more rows than the {SHOWN} shown; --output writes all")
 
 
 if __name__ == "__main__":

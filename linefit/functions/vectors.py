@@ -68,6 +68,25 @@ def same_width(a: Column, b: Column, result: Column) -> Column:
     )
 
 
+def checked(vector: Column, width: int | None) -> Column:
+    """``vector`` where it is ``width`` wide (or null), an error where it is not."""
+    if width is None:
+        return vector
+    message = F.concat(
+        F.lit("vector widths differ: "), F.size(vector).cast("string"), F.lit(f" and {width}")
+    )
+    return F.when(F.size(vector) == width, vector).when(
+        vector.isNotNull(), F.raise_error(message)
+    )
+
+
+def literal(values: Sequence[float]) -> Column:
+    """A vector of constants; a plan holds one text however many there are."""
+    if len(values) <= WRITTEN_OUT:
+        return F.lit([float(v) for v in values])
+    return F.split(F.lit(" ".join(map(repr, map(float, values)))), " ").cast("array<double>")
+
+
 def dot(a: Column, b: Column) -> Column:
     """Dot product of two vector columns; unequal widths are an error."""
     products = F.zip_with(a, b, lambda x, y: x * y)
@@ -82,13 +101,13 @@ def dot_weights(vector: Column, weights: Sequence[float], check_width: bool = Tr
     values = [float(w) for w in weights]
     if len(values) > WRITTEN_OUT:
         result = F.aggregate(
-            F.zip_with(vector, F.lit(values), lambda x, w: x * w),
+            F.zip_with(vector, literal(values), lambda x, w: x * w),
             F.lit(0.0),
             lambda s, x: s + x,
         )
     else:
         result = reduce(plus, [element(vector, j) * F.lit(w) for j, w in enumerate(values)])
-    return same_width(vector, F.lit(values), result) if check_width else result
+    return same_width(vector, literal(values), result) if check_width else result
 
 
 def scale(vector: Column, factor: Column | float) -> Column:
@@ -110,13 +129,14 @@ def degree_two(vector: Column, width: int | None = None) -> Column:
     """All terms of degree one and two, without the constant.
 
     The order is that of MLlib's expansion: for each element x_j first x_j itself, then its
-    products with x_0 … x_j.
+    products with x_0 … x_j. A vector that is not ``width`` wide is an error and a null one
+    gives null, whichever form is used.
     """
     if width is not None and width <= WRITTEN_OUT:
         xs = [element(vector, j) for j in range(width)]
-        return F.array(
-            *[term for j, x in enumerate(xs) for term in (x, *(xs[i] * x for i in range(j + 1)))]
-        )
+        terms = [t for j, x in enumerate(xs) for t in (x, *(xs[i] * x for i in range(j + 1)))]
+        return F.when(checked(vector, width).isNotNull(), F.array(*terms))
+    vector = checked(vector, width)
     return F.flatten(
         F.transform(
             vector,

@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from linefit.functions import vectors as V
 from linefit.functions.once import computed_once
+from linefit.operators import iterative
 from linefit.operators import moments as M
 from linefit.operators.summary import vector_sum
-from linefit.sources.staging import write_table
+from linefit.sources.staging import kept_table
 
 
 class LinearModel(PredictionModel, MLWritable, MLReadable):
@@ -50,7 +51,7 @@ class LinearModel(PredictionModel, MLWritable, MLReadable):
         known = V.known_width(df, name)
         if known is not None and known != self.numFeatures:
             raise ValueError(f"vector widths differ: {known} and {self.numFeatures}")
-        score = V.dot_weights(V.as_array(df, name), self.weights, check_width=known is None)
+        score = V.dot_weights(V.as_array(df, name), self.weights)
         if self.intercept:
             score = score + F.lit(self.intercept)
         return df.withColumn(self.getPredictionCol(), score)
@@ -116,6 +117,23 @@ class _ModelReader(MLReader):
         return model
 
 
+class _Solver(Params):
+    """How the rows are read: their moments once, or one aggregate per iteration."""
+
+    solver = Param(
+        Params._dummy(), "solver",
+        f"moments, rows, or auto: moments up to {M.WIDE} features, where the matrix of products "
+        "is smaller than the data of a task, and rows beyond; both give the same answer",
+        TypeConverters.toString,
+    )
+
+    def by_rows(self, width: int) -> bool:
+        chosen = self.getOrDefault("solver")
+        if chosen not in ("auto", "moments", "rows"):
+            raise ValueError(f"solver is auto, moments or rows, not {chosen!r}")
+        return chosen == "rows" or chosen == "auto" and width > M.WIDE
+
+
 # --- gradient descent ---------------------------------------------------------------------
 
 
@@ -165,13 +183,14 @@ class GradientDescentModel(LinearModel):
         self.final_rmse = numbers["final_rmse"][0]
 
 
-class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsWritable):
+class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, DefaultParamsWritable):
     """Least squares without intercept by full-batch gradient descent.
 
     The weights start at zero; update i subtracts stepSize / (n·sqrt(i + 1)) times the
-    gradient. Up to :data:`moments.WIDE` features all updates follow from one aggregate over
-    the rows; beyond, the rows are written to the shared folder once and every update reads
-    them in one aggregate.
+    gradient. By moments all updates follow from one aggregate over the rows, and errors that
+    those do not tell well enough are taken from the rows in a second one; by rows, they are
+    written to the shared folder for the time of the fit and every update reads them in one
+    aggregate.
     """
 
     numIterations = Param(
@@ -182,35 +201,48 @@ class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsW
     @keyword_only
     def __init__(
         self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
-        numIterations=100, stepSize=1.0,
+        numIterations=100, stepSize=1.0, solver="auto",
     ):
         super().__init__()
-        self._setDefault(numIterations=100, stepSize=1.0)
+        self._setDefault(numIterations=100, stepSize=1.0, solver="auto")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> GradientDescentModel:
         label, features = self.getLabelCol(), self.getFeaturesCol()
         width = M.feature_width(df, features)
-        if width <= M.WIDE:
-            return self.fit_moments(M.collect_moments(df, label, features, width=width)[None])
+        if not self.by_rows(width):
+            rows = M.collect_moments(df, label, features, width=width)[None]
+            path: list = []
+            model = self._descend(_loss_of(rows), width, path)
+            if not all(rows.is_certain(w) for w in path):
+                lines = [(w, 0.0) for w in path]
+                (n, squares), = iterative.squared_errors(df, lines, label, features).values()
+                *model.history, model.final_rmse = np.sqrt(squares / n).tolist()
+            return model
         narrow = df.select(V.as_array(df, features).alias(features), F.col(label).alias(label))
-        table = write_table(narrow, "training-rows")
+        table, release = kept_table(narrow, "training-rows")
 
         def loss(w):
             n, squares, g = M.squared_loss(table, w, label, features)
             return n, np.sqrt(squares / n), g
 
-        return self._descend(loss, width)
+        try:
+            return self._descend(loss, width)
+        finally:
+            release()
 
     def fit_moments(self, rows: M.Moments) -> GradientDescentModel:
         """The model for rows already summed up, without another pass."""
-        return self._descend(lambda w: (rows.n, rows.rmse(w), rows.gradient(w)), rows.width)
+        return self._descend(_loss_of(rows), rows.width)
 
-    def _descend(self, loss, width: int) -> GradientDescentModel:
+    def _descend(self, loss, width: int, path: list | None = None) -> GradientDescentModel:
+        """``path`` receives the weights before each update and after the last."""
         weights, history = np.zeros(width), []
         n, error, g = loss(weights)
         for i in range(self.getOrDefault("numIterations")):
             history.append(error)
+            if path is not None:
+                path.append(weights)
             with np.errstate(over="ignore", invalid="ignore"):
                 weights = weights - self.getOrDefault("stepSize") / (n * np.sqrt(i + 1)) * g
                 if np.isfinite(weights).all():
@@ -220,12 +252,19 @@ class GradientDescentRegression(Predictor, DefaultParamsReadable, DefaultParamsW
                     f"gradient descent diverged at update {i}: scale the features into [0, 1] "
                     "or take a smaller stepSize"
                 )
+        if path is not None:
+            path.append(weights)
         return GradientDescentModel(weights, history, error)._columns_from(self)
 
 
+def _loss_of(rows: M.Moments):
+    """Count, error and gradient for weights, from sums."""
+    return lambda w: (rows.n, rows.rmse(w), rows.gradient(w))
+
+
 # --- ridge and elastic net ----------------------------------------------------------------
 
-SWEEPS = 100_000
+SWEEPS = 10_000
 SWEEP_TOLERANCE = 1e-12
 
 
@@ -249,12 +288,18 @@ class RidgePath:
         self.values, self.basis = np.linalg.eigh(correlation[:-1, :-1])
         self.along = self.basis.T @ correlation[:-1, -1]
 
-    def solve(self, strength: float, l1_share: float = 0.0) -> tuple[np.ndarray, float]:
-        """Weights and intercept; a constant feature or label gets weight zero."""
+    def solve(
+        self, strength: float, l1_share: float = 0.0, sweeps: int = SWEEPS
+    ) -> tuple[np.ndarray, float]:
+        """Weights and intercept; a constant feature or label gets weight zero.
+
+        ``gap`` then tells how far the last solution is from an optimal one.
+        """
+        self.gap = 0.0
         if self.deviation[-1] == 0.0:
             return np.zeros(len(self.values)), float(self.mean[-1])
         relative = strength / self.deviation[-1]
-        scaled = self._sparse(relative, l1_share) if l1_share else self._ridge(relative)
+        scaled = self._sparse(relative, l1_share, sweeps) if l1_share else self._ridge(relative)
         weights = scaled * self.deviation[-1] * self.inverse[:-1]
         return weights, float(self.mean[-1] - weights @ self.mean[:-1])
 
@@ -264,26 +309,76 @@ class RidgePath:
         along = np.divide(self.along, shifted, out=np.zeros_like(shifted), where=usable)
         return self.basis @ along
 
-    def _sparse(self, strength: float, l1_share: float) -> np.ndarray:
-        """Coordinate descent: each weight in turn takes its best value given the others."""
+    def _sparse(self, strength: float, l1_share: float, sweeps: int) -> np.ndarray:
+        """Coordinate descent: each weight in turn takes its best value given the others.
+
+        Sweeps run over the weights in use, with one over all of them in between. As soon as
+        their signs suggest it, the linear system of the used weights is solved at once, which
+        ends the search if its solution is optimal.
+        """
         matrix, target = self.correlation[:-1, :-1], self.correlation[:-1, -1]
         absolute, square = strength * l1_share, strength * (1 - l1_share)
-        w = np.zeros(len(target))
-        for _ in range(SWEEPS):
-            before = w.copy()
-            for j in np.flatnonzero(self.inverse[:-1]):
-                pull = target[j] - matrix[j] @ w + matrix[j, j] * w[j]
-                w[j] = np.sign(pull) * max(abs(pull) - absolute, 0.0) / (matrix[j, j] + square)
-            if np.abs(w - before).max(initial=0.0) <= SWEEP_TOLERANCE:
-                return w
-        raise ArithmeticError(f"elastic net did not settle within {SWEEPS} sweeps")
+        diagonal, usable = np.diag(matrix), np.flatnonzero(self.inverse[:-1])
+        w, residual = np.zeros(len(target)), target.copy()
+
+        def violation(w, residual) -> float:
+            slope = residual - square * w
+            used = w != 0
+            off = np.where(used, np.abs(slope - absolute * np.sign(w)), np.abs(slope) - absolute)
+            return float(off[usable].max(initial=0.0))
+
+        def sweep(over) -> float:
+            change = 0.0
+            for j in over:
+                pull = residual[j] + diagonal[j] * w[j]
+                new = np.sign(pull) * max(abs(pull) - absolute, 0.0) / (diagonal[j] + square)
+                step = new - w[j]
+                if step:
+                    w[j] = new
+                    residual[:] -= step * matrix[j]
+                    change = max(change, abs(step))
+            return change
+
+        done = 0
+        while done < sweeps:
+            change = sweep(usable)
+            done += 1
+            used = np.flatnonzero(w)
+            while len(used) and done < sweeps and change > 1e-3 * np.abs(w).max():
+                change = sweep(used)
+                done += 1
+            exact = self._on_used(matrix, target, np.sign(w), absolute, square)
+            if exact is not None:
+                left = target - matrix @ exact
+                if violation(exact, left) <= SWEEP_TOLERANCE * max(1.0, absolute):
+                    w, residual = exact, left
+                    break
+            if change <= SWEEP_TOLERANCE * max(np.abs(w).max(initial=0.0), 1e-300):
+                break
+        self.gap = max(violation(w, target - matrix @ w), 0.0)
+        return w
+
+    @staticmethod
+    def _on_used(matrix, target, signs, absolute: float, square: float) -> np.ndarray | None:
+        """The weights that are optimal among those with these signs, if they have them."""
+        used = np.flatnonzero(signs)
+        system = matrix[np.ix_(used, used)] + square * np.eye(len(used))
+        try:
+            found = np.linalg.solve(system, target[used] - absolute * signs[used])
+        except np.linalg.LinAlgError:
+            return None
+        if not np.isfinite(found).all() or (np.sign(found) != signs[used]).any():
+            return None
+        out = np.zeros(len(target))
+        out[used] = found
+        return out
 
 
 class _RidgeParams(Params):
     regParam = Param(Params._dummy(), "regParam", "ridge strength", TypeConverters.toFloat)
     maxIter = Param(
         Params._dummy(), "maxIter",
-        "kept for parameter grids; the direct solution takes no iterations",
+        "most iterations; a ridge solution from moments takes none and ignores it",
         TypeConverters.toInt,
     )
 
@@ -295,42 +390,76 @@ class _RidgeParams(Params):
 
 
 class RidgeModel(LinearModel, _RidgeParams):
-    """Fitted ridge regression with its training error."""
+    """Fitted ridge regression with its training error.
+
+    ``gap`` is the largest violation of the optimality conditions, in standard units: zero for
+    a direct solution, more than rounding only where ``maxIter`` ended the search.
+    """
 
-    def __init__(self, weights=(), intercept=0.0, train_rmse: float = float("nan")):
+    def __init__(
+        self, weights=(), intercept=0.0, train_rmse: float = float("nan"), gap: float = 0.0
+    ):
         super().__init__(weights, intercept)
         self._setDefault(regParam=0.0, maxIter=100)
-        self.train_rmse = float(train_rmse)
+        self.train_rmse, self.gap = float(train_rmse), float(gap)
 
     def _numbers(self):
-        return {**super()._numbers(), "train_rmse": [self.train_rmse]}
+        return {**super()._numbers(), "train_rmse": [self.train_rmse], "gap": [self.gap]}
 
     def _restore(self, numbers):
         super()._restore(numbers)
         self.train_rmse = numbers["train_rmse"][0]
+        self.gap = numbers.get("gap", [0.0])[0]
 
 
-class RidgeRegression(Predictor, _RidgeParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Ridge regression (ordinary least squares at strength 0) from one aggregate."""
+class RidgeRegression(
+    Predictor, _RidgeParams, _Solver, DefaultParamsReadable, DefaultParamsWritable
+):
+    """Ridge regression (ordinary least squares at strength 0) from one aggregate.
+
+    By rows, one aggregate per iteration: ``maxIter`` of them at most.
+    """
 
     @keyword_only
     def __init__(
         self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
-        regParam=0.0, maxIter=100,
+        regParam=0.0, maxIter=100, solver="auto",
     ):
         super().__init__()
-        self._setDefault(regParam=0.0, maxIter=100)
+        self._setDefault(regParam=0.0, maxIter=100, solver="auto")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> RidgeModel:
-        return self.fit_moments(
-            M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol())[None]
-        )
+        label, features = self.getLabelCol(), self.getFeaturesCol()
+        width = M.feature_width(df, features)
+        if self.by_rows(width):
+            model = iterative.Model(self.getRegParam(), self._l1_share())
+            (found,) = iterative.solve(df, [model], label, features, width, None, self.getMaxIter())
+            weights, intercept, gap, rows = found.weights, found.intercept, found.gap, None
+        else:
+            rows = M.collect_moments(df, label, features, width=width)[None]
+            weights, intercept, gap = self._solved(rows)
+        if rows is not None and rows.is_certain(weights):
+            error = rows.rmse(weights, intercept)
+        else:
+            line = [(weights, intercept)]
+            (n, squares), = iterative.squared_errors(df, line, label, features).values()
+            error = float(np.sqrt(squares[0] / n))
+        return RidgeModel(weights, intercept, error, gap)._columns_from(self)
 
     def fit_moments(self, rows: M.Moments) -> RidgeModel:
-        """The model for rows already summed up, without another pass."""
-        weights, intercept = RidgePath(rows).solve(self.getRegParam(), self._l1_share())
-        return RidgeModel(weights, intercept, rows.rmse(weights, intercept))._columns_from(self)
+        """The model for rows already summed up, without another pass.
+
+        ``train_rmse`` is NaN where the sums do not tell it well enough.
+        """
+        weights, intercept, gap = self._solved(rows)
+        error = rows.rmse(weights, intercept) if rows.is_certain(weights) else float("nan")
+        return RidgeModel(weights, intercept, error, gap)._columns_from(self)
+
+    def _solved(self, rows: M.Moments) -> tuple[np.ndarray, float, float]:
+        path = RidgePath(rows)
+        weights, intercept = path.solve(self.getRegParam(), self._l1_share(), self.getMaxIter())
+        return weights, intercept, path.gap
 
     def _l1_share(self) -> float:
         return 0.0
@@ -339,8 +468,9 @@ class RidgeRegression(Predictor, _RidgeParams, DefaultParamsReadable, DefaultPar
 class ElasticNetRegression(RidgeRegression):
     """Elastic net from one aggregate, solved until the weights settle.
 
-    MLlib's solver, which stops after ``maxIter`` steps, comes to the same weights when its
-    limit lets it converge.
+    ``maxIter`` limits the sweeps over the weights (by rows, the proximal steps); a model that
+    it has stopped short says so by its ``gap``. MLlib's steps are other ones; they lead to the
+    same weights where their limit lets them.
     """
 
     elasticNetParam = Param(
@@ -351,11 +481,11 @@ class ElasticNetRegression(RidgeRegression):
     @keyword_only
     def __init__(
         self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
-        regParam=0.0, elasticNetParam=0.0, maxIter=100,
+        regParam=0.0, elasticNetParam=0.0, maxIter=SWEEPS, solver="auto",
     ):
         kwargs = self._input_kwargs
         super().__init__()
-        self._setDefault(elasticNetParam=0.0)
+        self._setDefault(elasticNetParam=0.0, maxIter=SWEEPS)
         self._set(**kwargs)
 
     def _l1_share(self) -> float:

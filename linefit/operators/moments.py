@@ -9,8 +9,8 @@ Three widths of feature vector:
 * up to ``NARROW`` one ``sum`` per pair of columns, all in generated code;
 * up to ``WIDE`` each task turns its Arrow batches into one matrix per group with numpy, and
   the matrix rows are added by a partial-then-final vector sum;
-* beyond, the matrix would outgrow the data, and :func:`squared_loss` gives error and
-  gradient for one set of weights instead.
+* beyond, the matrix would outgrow a task's data, and estimators read the rows once per
+  iteration instead (``solver``), unless they are told to take moments.
 
 The driver receives (groups × width²) numbers, never rows.
 """
@@ -125,9 +125,20 @@ def _raise_bad(bad: int, rows: int) -> None:
 def finite_rows(
     df: DataFrame, label: str = "label", features: str = "features", width: int | None = None
 ) -> DataFrame:
-    """The rows a model can be fitted on."""
+    """The rows a model can be fitted on.
+
+    Where neither ``width`` nor the column's metadata tells how wide vectors should be, one
+    aggregate looks at all of them, and more than one width is an error.
+    """
     v = V.as_array(df, features)
-    width = width or feature_width(df, features)
+    width = width or V.known_width(df, features)
+    if width is None:
+        found = df.where(v.isNotNull()).agg(F.min(F.size(v)), F.max(F.size(v))).first()
+        if found[0] is None:
+            return df.limit(0)
+        if found[0] != found[1]:
+            raise BadRows(f"vectors are {found[0]} to {found[1]} wide: say which width is right")
+        width = found[0]
     if width <= V.WRITTEN_OUT:
         usable = _usable([F.col(label), *[V.element(v, j) for j in range(width)]])
     else:
@@ -149,8 +160,6 @@ def collect_moments(
     they are taken a second time around the means found, which keeps all digits.
     """
     width = width or feature_width(df, features)
-    if width > WIDE:
-        raise ValueError(f"{width} features: too wide for a product matrix (limit {WIDE})")
     sums_of = _narrow_sums if width <= NARROW else _wide_sums
     group = F.lit(None).cast("int") if by is None else by
     rows = df.select(
@@ -226,7 +235,8 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
     from its diagonal element on (the matrix is symmetric).
 
     Row 0 is (count, sums); an extra row −1 counts the unusable rows. A task sends width²/2
-    numbers per group however many rows it read, so larger input splits make this cheaper.
+    numbers per group however many rows it read, so larger input splits make this cheaper. The
+    tasks' rows are added in two steps, so that no task takes in one from each of them.
     """
 
     kind = rows.schema["group"].dataType.simpleString()
@@ -266,8 +276,10 @@ def _wide_sums(rows: DataFrame, width: int, origin: np.ndarray, grouped: bool) -
 
     table = (
         rows.mapInArrow(partial, f"group {kind}, i int, row array<double>")
-        .groupBy("group", "i")
+        .groupBy("group", "i", (F.spark_partition_id() % BRANCHES).alias("branch"))
         .agg(Summarizer.sum(array_to_vector("row")).alias("row"))
+        .groupBy("group", "i")
+        .agg(Summarizer.sum(F.col("row")).alias("row"))
         .select("group", "i", vector_to_array("row").alias("row"))
         .collect()
     )

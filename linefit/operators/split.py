@@ -3,14 +3,17 @@
 A row's side depends on its key (and the seed) alone, so the split is the same under any
 partitioning, after a lost executor and on every re-read; ``DataFrame.randomSplit`` is not.
 Rows with equal keys stay on one side: choose a key that tells rows apart where the shares
-have to be kept (one line repeated for a third of the table moves as one block), or use
-``randomSplit``, which draws per row.
+have to be kept (one line repeated for a third of the table moves as one block), or give no
+key: then every row is drawn by itself, reproducibly only for the same files read in the same
+splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,20 +52,26 @@ def _part(digits: Column, weights: Sequence[float]) -> Column:
 
 
 def with_part(
-    df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0, name: str = "part"
+    df: DataFrame, weights: Sequence[float], keys: Sequence[str] | None, seed: int = 0,
+    name: str = "part",
 ) -> DataFrame:
     """Add the number of the part each row belongs to, for use in one pass over all parts."""
+    if keys is None:
+        passed = [(F.rand(seed) * HASH_RANGE >= b).cast("int") for b in cut_points(weights)[:-1]]
+        return df.withColumn(name, reduce(add, passed, F.lit(0)))  # all draws of a row are one
     return df.withColumn(name, _part(key_digest(keys, seed), weights))
 
 
 def hash_split(
-    df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int = 0
+    df: DataFrame, weights: Sequence[float], keys: Sequence[str] | None, seed: int = 0
 ) -> list[DataFrame]:
     """The parts as separate tables."""
     numbered = with_part(df, weights, keys, seed, "_part")
     return [numbered.filter(F.col("_part") == i).drop("_part") for i in range(len(weights))]
 
 
-def fold_number(keys: Sequence[str], folds: int, seed: int = 0) -> Column:
+def fold_number(keys: Sequence[str] | None, folds: int, seed: int = 0) -> Column:
     """Cross-validation fold, from other digits of the same digest as the part."""
+    if keys is None:
+        return F.floor(F.rand(seed + FOLD) * folds).cast("int")
     return _part(F.substring(key_digest(keys, seed), FOLD, DIGITS), [1] * folds)

@@ -60,14 +60,16 @@ class FieldSplitter(_Stage):
     """Line to its fields by position; every field keeps its place."""
 
     separator = _param("separator", "text between fields", TypeConverters.toString)
+    first = _param("first", "fields to cut off, all if unset", TypeConverters.toInt)
     _defaults = {"separator": ","}
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, separator=","):
+    def __init__(self, *, inputCol=None, outputCol=None, separator=",", first=None):
         super().__init__(**self._input_kwargs)
 
     def _expression(self, df):
-        return X.split_fields(F.col(self.getInputCol()), self.getOrDefault("separator"))
+        first = self.getOrDefault("first") if self.isSet("first") else None
+        return X.split_fields(F.col(self.getInputCol()), self.getOrDefault("separator"), first)
 
 
 class LineTokenizer(_Stage):

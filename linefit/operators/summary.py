@@ -51,22 +51,27 @@ def vector_sum(
 ) -> DataFrame:
     """Element-wise sum as rows ``(*by, idx, value)``.
 
-    Short vectors of known width (given, or in the column's metadata) are summed position by
-    position and only the sums become rows. Otherwise the elements become rows and are summed
-    per position; the partial sums of a task number (groups × width) whatever the number of
-    vectors, and vectors of different widths are added as if the shorter ones ended in zeros
-    (:func:`widths` tells whether that happens).
+    Unequal widths within a group, or another width than the known one (given, or in the
+    column's metadata), are an error; null vectors are left out, and a group of nothing else
+    has no rows. Short vectors of known width are summed position by position and only the
+    sums become rows. Otherwise the elements become rows and are summed per position; the
+    partial sums of a task number (groups × width) whatever the number of vectors.
     """
     width = width or V.known_width(df, vector)
+    v = V.checked(F.col(vector), width)
     if width is not None and width <= V.WRITTEN_OUT:
-        sums = [F.sum(V.element(F.col(vector), j)) for j in range(width)]
-        summed = df.groupBy(*by).agg(F.count("*").alias("_rows"), F.array(*sums).alias("_sums"))
+        sums = [F.sum(V.element(v, j)) for j in range(width)]
+        summed = df.groupBy(*by).agg(F.count(v).alias("_rows"), F.array(*sums).alias("_sums"))
         rows = summed.filter(F.col("_rows") > 0)
         return rows.select(*by, F.posexplode("_sums").alias("idx", "value"))
+    size = F.col("_size")
+    unequal = F.raise_error(
+        F.concat(F.lit("vector widths differ: "), F.min(size), F.lit(" and "), F.max(size))
+    )
     return (
-        df.select(*by, F.posexplode(vector).alias("idx", "element"))
+        df.select(*by, F.size(vector).alias("_size"), F.posexplode(v).alias("idx", "element"))
         .groupBy(*by, "idx")
-        .agg(F.sum("element").alias("value"))
+        .agg(F.when(F.min(size) == F.max(size), F.sum("element")).otherwise(unequal).alias("value"))
     )
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import product
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml.base import Predictor
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -18,8 +19,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linefit.operators import iterative
 from linefit.operators import moments as M
-from linefit.operators.linear import RidgeModel, RidgePath
+from linefit.operators.linear import RidgeModel, RidgePath, _Solver
 from linefit.operators.split import fold_number
 
 
@@ -37,21 +39,46 @@ def grid_errors(
 
     ``maxIter`` does not change a direct solution: each strength is solved once per fold.
     """
+    errors, _ = _errors_of(folds, fold_lines(folds, [reg for reg, _ in grid]))
+    return _in_order(errors, grid, folds)
+
+
+def fold_lines(folds: dict, strengths: Sequence[float]) -> dict:
+    """(strength, fold) → weights and intercept fitted on the other folds."""
     if len(folds) < 2:
         raise ValueError("cross-validation needs rows in at least two folds")
-    errors = {}
-    for fold, held_out in folds.items():
+    lines = {}
+    for fold in folds:
         path = RidgePath(M.merge(m for f, m in folds.items() if f != fold))
-        for strength in {reg for reg, _ in grid}:
-            errors[strength, fold] = held_out.rmse(*path.solve(strength))
+        for strength in dict.fromkeys(strengths):
+            lines[strength, fold] = path.solve(strength)
+    return lines
+
+
+def _errors_of(folds: dict, lines: dict) -> tuple[dict, bool]:
+    """Held-out errors from the folds' sums, and whether those tell all of them well enough."""
+    errors = {key: folds[key[1]].rmse(*line) for key, line in lines.items()}
+    return errors, all(folds[key[1]].is_certain(line[0]) for key, line in lines.items())
+
+
+def _in_order(errors: dict, grid, folds) -> list[tuple[float, int, int, float]]:
     return [(reg, it, fold, errors[reg, fold]) for reg, it in grid for fold in sorted(folds)]
 
 
+def row_errors(df: DataFrame, lines: dict, by, label: str, features: str) -> dict:
+    """Held-out errors of (key, fold) → (weights, intercept), row by row in one aggregate."""
+    keys = list(lines)
+    found = iterative.squared_errors(df, [lines[k] for k in keys], label, features, by)
+    return {
+        key: float(np.sqrt(found[key[1]][1][i] / found[key[1]][0])) for i, key in enumerate(keys)
+    }
+
+
 class RidgeGridModel(RidgeModel):
     """The winning model, refitted on all rows, with the table behind the choice."""
 
-    def __init__(self, weights=(), intercept=0.0, train_rmse=float("nan"), errors=()):
-        super().__init__(weights, intercept, train_rmse)
+    def __init__(self, weights=(), intercept=0.0, train_rmse=float("nan"), errors=(), gap=0.0):
+        super().__init__(weights, intercept, train_rmse, gap)
         self.errors = [tuple(e) for e in errors]
 
     def fold_table(self, spark: SparkSession) -> DataFrame:
@@ -85,10 +112,12 @@ class RidgeGridModel(RidgeModel):
         ]
 
 
-class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
+class RidgeGridSearch(Predictor, _Solver, DefaultParamsReadable, DefaultParamsWritable):
     """Fit with the grid entry of lowest mean held-out error; ties go to the earliest entry.
 
     Folds are the values of ``foldCol`` (0 … numFolds − 1) if set, else derived from ``keyCols``.
+    Where the sums tell an error too poorly to choose by (a near-perfect fit), all errors are
+    taken from the rows, in one more aggregate.
     """
 
     regParams = Param(Params._dummy(), "regParams", "strengths", TypeConverters.toListFloat)
@@ -103,9 +132,10 @@ class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
     def __init__(
         self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
         regParams=None, maxIters=None, numFolds=3, foldCol=None, keyCols=None, seed=0,
+        solver="auto",
     ):
         super().__init__()
-        self._setDefault(regParams=[0.0], maxIters=[100], numFolds=3, seed=0)
+        self._setDefault(regParams=[0.0], maxIters=[100], numFolds=3, seed=0, solver="auto")
         self._set(**self._input_kwargs)
 
     def _fold(self):
@@ -121,22 +151,63 @@ class RidgeGridSearch(Predictor, DefaultParamsReadable, DefaultParamsWritable):
         )
 
     def _fit(self, df: DataFrame) -> RidgeGridModel:
-        return self.fit_moments(
-            M.collect_moments(df, self.getLabelCol(), self.getFeaturesCol(), by=self._fold())
-        )
-
-    def fit_moments(self, folds: dict) -> RidgeGridModel:
-        """The model for folds already summed up, without another pass."""
-        grid = parameter_grid(self.getOrDefault("regParams"), self.getOrDefault("maxIters"))
-        errors = grid_errors(folds, grid)
+        label, features = self.getLabelCol(), self.getFeaturesCol()
+        width = M.feature_width(df, features)
+        if self.by_rows(width):
+            return self.fit_rows(df, self._fold(), width)
+        by = self._fold()
+        folds = M.collect_moments(df, label, features, by=by, width=width)
+        return self.fit_moments(folds, lambda lines: row_errors(df, lines, by, label, features))
+
+    def _grid(self) -> list[tuple[float, int]]:
+        return parameter_grid(self.getOrDefault("regParams"), self.getOrDefault("maxIters"))
+
+    def _winner(self, errors: dict, folds) -> tuple[list, float, int]:
+        grid = self._grid()
+        table = _in_order(errors, grid, folds)
         means = [
-            sum(e[3] for e in errors[i * len(folds) : (i + 1) * len(folds)]) / len(folds)
+            sum(e[3] for e in table[i * len(folds) : (i + 1) * len(folds)]) / len(folds)
             for i in range(len(grid))
         ]
-        reg, iterations = grid[means.index(min(means))]
+        return table, *grid[means.index(min(means))]
+
+    def fit_moments(self, folds: dict, from_rows=None) -> RidgeGridModel:
+        """The model for folds already summed up.
+
+        ``from_rows`` turns (strength, fold) → (weights, intercept) into errors row by row. It
+        is asked only where the sums will not do; without it they have to.
+        """
+        lines = fold_lines(folds, self.getOrDefault("regParams"))
+        errors, certain = _errors_of(folds, lines)
+        if not certain and from_rows:
+            errors = from_rows(lines)
+        table, reg, iterations = self._winner(errors, folds)
         everything = M.merge(folds.values())
         weights, intercept = RidgePath(everything).solve(reg)
-        model = RidgeGridModel(
-            weights, intercept, everything.rmse(weights, intercept), errors
-        )
+        error = everything.rmse(weights, intercept)
+        if not everything.is_certain(weights) and from_rows:
+            parts = from_rows({("all", f): (weights, intercept) for f in folds})
+            squares = sum(m.n * parts["all", f] ** 2 for f, m in folds.items())
+            error = float(np.sqrt(squares / everything.n))
+        model = RidgeGridModel(weights, intercept, error, table)
+        return model._columns_from(self)._set(regParam=reg, maxIter=iterations)
+
+    def fit_rows(self, df: DataFrame, by, width: int) -> RidgeGridModel:
+        """The same from the rows: all folds and strengths go through them together."""
+        label, features = self.getLabelCol(), self.getFeaturesCol()
+        rows = iterative.Rows(df, label, features, by, width)
+        folds = sorted(rows.scales())
+        if len(folds) < 2:
+            raise ValueError("cross-validation needs rows in at least two folds")
+        strengths = list(dict.fromkeys(self.getOrDefault("regParams")))
+        models = [iterative.Model(s, left_out=f) for s in strengths for f in folds]
+        limit = max(1000, *self.getOrDefault("maxIters"))
+        solved = iterative.Problem(rows, models).solve(limit)
+        lines = {(m.strength, m.left_out): (s.weights, s.intercept) for m, s in zip(models, solved)}
+        table, reg, iterations = self._winner(row_errors(df, lines, by, label, features), folds)
+        (final,) = iterative.Problem(rows, [iterative.Model(reg)]).solve(limit)
+        line = [(final.weights, final.intercept)]
+        parts = iterative.squared_errors(df, line, label, features, by).values()
+        error = float(np.sqrt(sum(q[0] for _, q in parts) / sum(n for n, _ in parts)))
+        model = RidgeGridModel(final.weights, final.intercept, error, table, final.gap)
         return model._columns_from(self)._set(regParam=reg, maxIter=iterations)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +18,15 @@ from linefit.operators import stages as S
 from linefit.operators import summary
 from linefit.operators.evaluate import rmse_table
 from linefit.operators.linear import (
+    ElasticNetRegression,
+    GradientDescentModel,
     GradientDescentRegression,
     RidgePath,
     RidgeRegression,
     gradient,
     gradient_terms,
 )
-from linefit.operators.moments import collect_moments
+from linefit.operators.moments import collect_moments, finite_rows
 from linefit.operators.split import hash_split, with_part
 from linefit.operators.tuning import RidgeGridSearch, parameter_grid
 from linefit.plans import bank, regression, songs
@@ -50,7 +52,7 @@ def rounded(c: Column | str, places: int = 6) -> Column:
 
 
 def by_index(df: DataFrame, vector: str, width: int) -> DataFrame:
-    """Count, sum and largest element per vector position."""
+    """Count, sum and largest element per vector position; another width is an error."""
 
     def measures(x: Column) -> list[Column]:
         return [
@@ -60,10 +62,11 @@ def by_index(df: DataFrame, vector: str, width: int) -> DataFrame:
         ]
 
     if width > V.WRITTEN_OUT:  # so many aggregates would take longer to compile than to run
-        elements = df.select(F.posexplode(vector).alias("idx", "value"))
+        v = V.checked(F.col(vector), width)
+        elements = df.select(F.posexplode(v).alias("idx", "value"))
         return elements.groupBy("idx").agg(*measures(F.col("value")))
     positions = [
-        F.struct(F.lit(j).alias("idx"), *measures(V.element(F.col(vector), j)))
+        F.struct(F.lit(j).alias("idx"), *measures(V.element(V.checked(F.col(vector), width), j)))
         for j in range(width)
     ]
     return df.agg(F.array(*positions).alias("positions")).select(F.inline("positions"))
@@ -145,6 +148,35 @@ def line_counts(spark, folder):
     return songs.counted_lines(T.damaged_song_lines(spark, folder))
 
 
+@query
+def rejects_non_finite(spark, folder):
+    """Lines with NaN or an infinite number are rejected as such, and the others are kept."""
+    lines = T.non_finite_song_lines(spark, folder)
+    kept = songs.good_lines(lines, finite=True).agg(F.lit("none").alias("reason"), F.count("*").alias("count"))
+    rejected = songs.rejected(lines, finite=True)
+    return summary.count_per_key(rejected, text.REASON).unionByName(kept)
+
+
+@query
+def bank_rejected_per_reason(spark, folder):
+    path = staging.write_lines(T.damaged_bank_lines(spark, folder), "bank-csv", T.BANK_HEADER)
+    return bank.rejected_records(spark, path)
+
+
+@query
+def bank_lines_rejected(spark, folder):
+    reasons = bank.with_reason(T.damaged_bank_lines(spark, folder))
+    return summary.count_per_key(
+        reasons.select(F.coalesce(text.REASON, F.lit("none")).alias("reason")), "reason"
+    )
+
+
+@query
+def wide_csv_rejected(spark, folder):
+    path = staging.write_lines(T.odd_wide_lines(spark, folder), "wide-csv", T.CSV_HEADER)
+    return regression.wide_csv_rejects(delimited.checked_records(spark, path))
+
+
 @query
 def csv_drop_malformed(spark, folder):
     path = staging.write_lines(T.wide_lines(spark, folder), "wide-csv", T.CSV_HEADER)
@@ -253,6 +285,23 @@ def poly2_column_sums(spark, folder):
     return by_index(rows, "products", V.degree_two_width(3))
 
 
+@query
+def poly2_wide_sums(spark, folder):
+    """All 2,144 products of the 64 numbers of an embedding."""
+    rows = S.DegreeTwo(inputCol="features", outputCol="products").transform(
+        T.embedding_rows(spark, folder)
+    )
+    return by_index(rows, "products", V.degree_two_width(EMBEDDING_WIDTH))
+
+
+@query
+def finite_rows_kept(spark, folder):
+    """Every third vector has a NaN, a null or one element too few."""
+    rows = T.damaged_embedding_rows(spark, folder)
+    kept = finite_rows(rows, width=EMBEDDING_WIDTH)
+    return kept.groupBy("vec_id").agg(F.count("*").alias("count"))
+
+
 # --- vectors ------------------------------------------------------------------------------
 
 
@@ -360,6 +409,33 @@ def gd_wide_weights(spark, folder):
     return model.weights_table(spark).select("idx", rounded("value").alias("value"))
 
 
+@query
+def gd_rows_history(spark, folder):
+    """Every update from the rows themselves."""
+    model = GradientDescentRegression(solver="rows").fit(T.price_rows(spark, folder))
+    return model.history_table(spark).select("iter", rounded("rmse").alias("rmse"))
+
+
+@query
+def gd_rows_errors(spark, folder):
+    """The errors of the history, each from the rows by the weights before its update."""
+    rows = T.price_rows(spark, folder)
+    model = GradientDescentRegression(numIterations=3).fit(rows)
+    return model.history_table(spark).select("iter", rounded("rmse").alias("rmse"))
+
+
+@query
+def pipeline_copy_score(spark, folder):
+    """A copied estimator with another number of updates, found again among the stages."""
+    rows = T.price_rows(spark, folder)
+    base = GradientDescentRegression()
+    copied = base.copy({base.numIterations: 5})
+    fitted = Pipeline(stages=[copied.setPredictionCol("guess")]).fit(rows)
+    model = S.stage_of(fitted, GradientDescentModel)
+    table = model.weights_table(spark)
+    return table.select("idx", rounded("value").alias("value"))
+
+
 def _train_test(spark, folder):
     return hash_split(T.price_rows(spark, folder), K.SPLIT_9_1, T.LINE_KEYS)
 
@@ -430,10 +506,35 @@ def grid_train_rmse(spark, folder):
     return table.select("regParam", "maxIter", rounded("rmse").alias("rmse"))
 
 
-def _search(features: str = "features") -> RidgeGridSearch:
+@query
+def ridge_near_perfect_rmse(spark, folder):
+    """A label that is a feature but for a term of 1e-9: its error is in the last digits."""
+    rows = T.near_perfect_rows(spark, folder)
+    model = RidgeRegression().fit(rows)
+    return memory.from_rows(spark, [(model.train_rmse * 1e9,)], "value double").select(
+        rounded("value", 3).alias("value")
+    )
+
+
+@query
+def raw_year_moments(spark, folder):
+    """Deviation of a raw year, which is small beside its mean."""
+    rows = T.songs(spark, folder).select(
+        F.array(F.col("year").cast("double")).alias("features", metadata=V.width_metadata(1)),
+        F.col("f1").alias("label"),
+    )
+    found = collect_moments(rows)[None]
+    table = memory.from_rows(
+        spark, [(found.n, float(found.mean[0]), float((found.products[0, 0] / found.n) ** 0.5))],
+        "count long, mean double, deviation double",
+    )
+    return table.select("count", rounded("mean").alias("mean"), rounded("deviation").alias("deviation"))
+
+
+def _search(features: str = "features", solver: str = "auto") -> RidgeGridSearch:
     return RidgeGridSearch(
         featuresCol=features, regParams=K.REG_PARAMS, maxIters=K.MAX_ITERS,
-        keyCols=T.LINE_KEYS,
+        keyCols=T.LINE_KEYS, solver=solver,
     )
 
 
@@ -448,6 +549,26 @@ def ridge_cv_table(spark, folder):
     return model.fold_table(spark).withColumn("rmse", rounded("rmse"))
 
 
+@query
+def ridge_rows_cv_table(spark, folder):
+    """The same errors from one aggregate per iteration, without a matrix of products."""
+    model = _search(solver="rows").fit(T.charge_rows(spark, folder))
+    return model.fold_table(spark).withColumn("rmse", rounded("rmse"))
+
+
+@query
+def ridge_wide_moments_weights(spark, folder):
+    """A wide product matrix, whose rows the tasks' sums are added by in two steps."""
+    model = RidgeRegression(regParam=0.1).fit(T.embedding_rows(spark, folder))
+    return model.weights_table(spark).select("idx", rounded("value").alias("value"))
+
+
+@query
+def ridge_wide_rows_weights(spark, folder):
+    model = RidgeRegression(regParam=0.1, solver="rows").fit(T.embedding_rows(spark, folder))
+    return model.weights_table(spark).select("idx", rounded("value").alias("value"))
+
+
 @query
 def ridge_cv_best(spark, folder):
     model = _search().fit(T.charge_rows(spark, folder))
@@ -499,6 +620,13 @@ def elastic_net_weights(spark, folder):
     return model.weights_table(spark).withColumn("value", rounded("value"))
 
 
+@query
+def elastic_net_rows_weights(spark, folder):
+    rows = T.charge_rows(spark, folder)
+    model, _ = regression.elastic_net(rows, T.LINE_KEYS, solver="rows")
+    return model.weights_table(spark).withColumn("value", rounded("value"))
+
+
 @query
 def elastic_net_predictions(spark, folder):
     rows = T.charge_rows(spark, folder)
@@ -527,3 +655,11 @@ def wide_csv_regression(spark, folder):
     )
     named = errors.select(F.concat_ws(" ", "side", "metric").alias("name"), "value")
     return named.union(weights).withColumn("value", rounded("value"))
+
+
+@query
+def wide_csv_regression_mllib(spark, folder):
+    """Three of MLlib's steps come near the settled weights: fewer places are compared."""
+    path = staging.write_lines(T.wide_lines(spark, folder), "wide-csv", T.CSV_HEADER)
+    _, errors = regression.wide_csv_regression_by_mllib(delimited.read_delimited(spark, path))
+    return errors.select("side", "metric", rounded("value", 3).alias("value"))

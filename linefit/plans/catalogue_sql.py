@@ -236,6 +236,36 @@ unscaled AS (
 elastic AS (SELECT w, mean_y - {dot('w', 'mean_x')} AS intercept FROM unscaled)"""
 
 
+def wide_ridge_weights(width: int, strength: float) -> str:
+    """Ridge weights over the embeddings: conjugate gradients, one step per recursion."""
+    product = f"list_transform(c, lambda line, i: {dot('line', 'p')} + lambda_ * p[i])"
+    return f"""WITH RECURSIVE {EMBEDDING},
+means AS (SELECT list(v ORDER BY i) AS m, list(d ORDER BY i) AS d FROM (
+  SELECT i, avg(x[i]) AS v, stddev_pop(x[i]) AS d FROM data, range(1, {width + 1}) AS r(i) GROUP BY i)),
+label AS (SELECT avg(y) AS my, stddev_pop(y) AS dy FROM data),
+z AS MATERIALIZED (
+  SELECT (y - my) / dy AS t, list_transform(x, lambda v, i: (v - m[i]) / d[i]) AS z
+  FROM data, means, label),
+cells AS (
+  SELECT i, j, avg(z[i] * z[j]) AS v
+  FROM z, range(1, {width + 1}) AS a(i), range(1, {width + 1}) AS b(j) GROUP BY i, j),
+system AS MATERIALIZED (
+  SELECT (SELECT list(line ORDER BY i) FROM (SELECT i, list(v ORDER BY j) AS line FROM cells GROUP BY i)) AS c,
+         (SELECT list(v ORDER BY i) FROM (SELECT i, avg(t * z[i]) AS v FROM z, range(1, {width + 1}) AS a(i)
+          GROUP BY i)) AS b, (SELECT {strength} / dy FROM label) AS lambda_),
+steps AS (
+  SELECT 0 AS step, list_resize([]::DOUBLE[], {width}, 0.0::DOUBLE) AS w, b AS r, b AS p FROM system
+  UNION ALL
+  SELECT step + 1, w2, r2, list_transform(r2, lambda v, i: v + {dot('r2', 'r2')} / {dot('r', 'r')} * p[i])
+  FROM (SELECT *, list_transform(r, lambda v, i: v - a * q[i]) AS r2,
+               list_transform(w, lambda v, i: v + a * p[i]) AS w2
+        FROM (SELECT *, {dot('r', 'r')} / {dot('p', 'q')} AS a
+              FROM (SELECT step, w, r, p, {product} AS q FROM steps, system WHERE step < 60)))
+  WHERE {dot('r', 'r')} > 1e-26)
+SELECT i::INT AS idx, {rounded('w[i + 1] * dy / d[i + 1]', 'value')}
+FROM (SELECT * FROM steps ORDER BY step DESC LIMIT 1), means, label, range({width}) AS r(i)"""
+
+
 RESIDUAL_RMSE = f"sqrt(avg((y - intercept - {dot('w', 'x')}) ** 2))"
 GRID = "(VALUES " + ", ".join(f"({i}, {v})" for i, v in enumerate(K.MAX_ITERS)) + ")"
 STRENGTH_ORDER = "list_position([" + ", ".join(map(str, K.REG_PARAMS)) + "]::DOUBLE[], reg)"
@@ -353,6 +383,22 @@ SELECT CASE WHEN l_linenumber = 5 THEN 'empty' WHEN l_linenumber = 4 THEN 'bad_n
             WHEN l_linenumber > 5 THEN 'width' END AS reason,
        CASE WHEN l_linenumber < 4 THEN year(l_shipdate) END::INT AS year, count(*) AS count
 FROM lineitem GROUP BY 1, 2""",
+        "rejects_non_finite": """
+SELECT CASE WHEN l_linenumber <= 3 THEN 'non_finite' ELSE 'none' END AS reason, count(*) AS count
+FROM lineitem GROUP BY 1""",
+        "bank_rejected_per_reason": """
+SELECT CASE WHEN p_size <= 10 THEN 'width' ELSE 'bad_number' END AS reason, count(*) AS count
+FROM part WHERE p_size <= 20 GROUP BY 1""",
+        "bank_lines_rejected": """
+SELECT CASE WHEN p_size <= 10 THEN 'width' WHEN p_size <= 20 THEN 'bad_number' ELSE 'none' END
+  AS reason, count(*) AS count FROM part GROUP BY 1""",
+        "wide_csv_rejected": f"""WITH {WIDE}, numbered AS (
+  SELECT o_orderpriority AS artist, o_custkey % 10 AS tempo,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN 0.0 WHEN o_orderstatus = 'P' THEN NULL
+              ELSE 1.0 END AS y FROM orders)
+SELECT CASE WHEN artist IN ('1-URGENT', '5-LOW') THEN 'width' WHEN tempo = 0 THEN 'bad_number'
+            ELSE 'non_finite' END AS reason, count(*) AS count
+FROM numbered WHERE artist IN ('1-URGENT', '5-LOW') OR y > 0 AND tempo <= 1 GROUP BY 1""",
         "csv_drop_malformed": (
             'SELECT o_orderpriority AS "ArtistName", count(*) AS count FROM orders '
             "WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') GROUP BY 1"
@@ -397,6 +443,13 @@ SELECT year, count(*) AS count, {rounded('sum(f1)', 'f1')}, {rounded('sum(f2)',
 SELECT (year - {K.FIRST_YEAR})::DOUBLE AS label, floor((year - {K.FIRST_YEAR}) / 10)::BIGINT
   AS decade, count(*) AS count FROM songs GROUP BY 1, 2""",
         "poly2_column_sums": f"WITH {PRICE}, {products_of()} " + by_index("products", "x"),
+        "poly2_wide_sums": f"""WITH {EMBEDDING}, products AS (
+  SELECT flatten(list_transform(range(1, 65), lambda j:
+           [x[j]] || list_transform(range(1, j + 1), lambda i: x[i] * x[j]))) AS v FROM data)
+""" + by_index("products", "v"),
+        "finite_rows_kept": (
+            "SELECT vec_id, count(*) AS count FROM embeddings WHERE vec_id % 3 <> 0 GROUP BY 1"
+        ),
         "vector_scale_add_fill": (
             f"WITH {EMBEDDING}, moved AS "
             "(SELECT list_transform(x, lambda e: 2 * e + 1) AS v FROM data) "
@@ -459,6 +512,13 @@ final AS (SELECT w FROM descent WHERE iter = {last})"""
     return {
         "gd_weights": weights(PRICE, 3),
         "gd_history": history(PRICE, 3),
+        "gd_rows_history": history(PRICE, 3),
+        "gd_rows_errors": f"""WITH RECURSIVE {PRICE}, {descent('data', 3)}
+SELECT iter::INT AS iter, {rounded(f"sqrt(avg(({dot('w', 'x')} - y) ** 2))", 'rmse')}
+FROM descent, data WHERE iter < 3 GROUP BY iter""",
+        "pipeline_copy_score": f"""WITH RECURSIVE {PRICE}, {descent('data', 3)}
+SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')}
+FROM descent, range(3) AS r(i) WHERE iter = 5""",
         "gd_wide_weights": weights(EMBEDDING, 64),
         "gd_wide_history": history(EMBEDDING, 64),
         "gd_test_predictions": f"""{trained(PRICE)}
@@ -477,6 +537,8 @@ SELECT side, {last}::INT, {rounded(row_rmse, 'value')} FROM sided, final GROUP B
 
 def _ridges() -> dict[str, str]:
     products = f"{CHARGE}, {products_of()}"
+    # the normal equations by conjugate gradients, in units of the features' deviations
+    wide_ridge = wide_ridge_weights(64, 0.1)
     line = f"WITH {CHARGE}, fit AS (SELECT regr_slope(y, x[1]) AS a, " \
            "regr_intercept(y, x[1]) AS b FROM data)"
     return {
@@ -492,6 +554,21 @@ FROM data, {refit('data', 3)} fitted, {GRID} g(k, it) GROUP BY reg, it""",
         "ridge_cv_table": f"""WITH RECURSIVE {CHARGE}, {cross_validation('data', 3)}
 SELECT reg AS "regParam", it::INT AS "maxIter", fold, {rounded('rmse', 'rmse')}
 FROM fold_errors, {GRID} g(k, it)""",
+        "ridge_rows_cv_table": f"""WITH RECURSIVE {CHARGE}, {cross_validation('data', 3)}
+SELECT reg AS "regParam", it::INT AS "maxIter", fold, {rounded('rmse', 'rmse')}
+FROM fold_errors, {GRID} g(k, it)""",
+        "ridge_wide_moments_weights": wide_ridge,
+        "ridge_wide_rows_weights": wide_ridge,
+        "ridge_near_perfect_rmse": """
+SELECT round(1e9 * sqrt(avg((e - (SELECT avg(e) FROM t) - (SELECT regr_slope(e, p) FROM t)
+  * (p - (SELECT avg(p) FROM t))) ** 2)), 3) + 0.0::DOUBLE AS value
+FROM (SELECT * FROM t)""".replace("SELECT round", """WITH t AS (
+  SELECT l_extendedprice / 100000 AS p,
+         CASE WHEN l_orderkey % 2 = 0 THEN 1e-9 ELSE -1e-9 END::DOUBLE AS e FROM lineitem)
+SELECT round"""),
+        "raw_year_moments": f"""WITH {SONGS}
+SELECT count(*) AS count, {rounded('avg(year)', 'mean')}, {rounded('stddev_pop(year)', 'deviation')}
+FROM songs""",
         "ridge_cv_best": best("data", CHARGE, 3),
         "ridge_cv_weights": f"""WITH RECURSIVE {CHARGE}, {cross_validation('data', 3)}
 SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')}
@@ -527,12 +604,17 @@ data AS (
     return {
         "elastic_net_errors": errors(6),
         "elastic_net_errors_mllib": errors(4),
+        "elastic_net_rows_weights": f"""{charge}
+SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
         "elastic_net_weights": f"""{charge}
 SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
         "elastic_net_predictions": f"""{charge}
 SELECT l_orderkey, l_linenumber, {rounded('y', 'label', 12)},
   {rounded(dot('w', 'x') + ' + intercept', 'prediction')}
 FROM sided, elastic WHERE side = 'test'""",
+        "wide_csv_regression_mllib": f"""{fitted(csv, 6, K.CSV_SEED, ('number', 'id', 'text'))}
+SELECT side, 'rmse' AS metric, {rounded(RESIDUAL_RMSE, 'value', 3)}
+FROM sided, elastic GROUP BY side""",
         "wide_csv_regression": f"""{fitted(csv, 6, K.CSV_SEED, ('number', 'id', 'text'))}
 SELECT side || ' rmse' AS name, {rounded(RESIDUAL_RMSE, 'value')}
 FROM sided, elastic GROUP BY side

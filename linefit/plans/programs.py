@@ -2,26 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from linefit.operators import stages as S
 from linefit.plans import bank, regression, songs
 from linefit.plans import fixed_values as K
 from linefit.sources import delimited, text
+from linefit.sources.memory import from_rows
 from linefit.sources.staging import write_table
 
 Tables = dict[str, DataFrame]
-Program = Callable[[SparkSession, str], Tables]
+Keys = Sequence[str] | None
+Program = Callable[..., Tables]
 PREVIEW = 10
 SCORED = ["prediction", "label", "features"]
+BY_LINE = ("value",)
 
 
-def _line_rows(spark: SparkSession, path: str) -> DataFrame:
-    lines = songs.good_lines(text.read_lines(spark, path))
-    return regression.prepared(lines, regression.number_stages("numbers"))
+class _Lines:
+    """The good lines of a file, and the number of rejected ones by reason.
+
+    The rejects are counted on the way by the first full pass over the lines, whatever it is.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.seen = spark, Observation()
+        lines = text.read_lines(spark, path)
+        checked = text.with_reason(lines, songs.NUMERIC, K.LINE_WIDTH, finite=True)
+        reason = F.col(text.REASON)
+        counts = [F.count_if(reason == r).alias(r) for r in text.REASONS]
+        watched = checked.observe(self.seen, *counts)
+        self.lines = watched.filter(reason.isNull()).drop(text.REASON)
+
+    def rows(self) -> DataFrame:
+        return regression.prepared(self.lines, regression.number_stages("numbers"))
+
+    def rejected(self) -> DataFrame:
+        counts = [(r, n) for r, n in self.seen.get.items() if n]
+        return from_rows(self.spark, counts, "reason string, count long")
 
 
 def _preview(scored: DataFrame, *columns: str) -> DataFrame:
@@ -35,51 +57,76 @@ def song_summary(spark: SparkSession, path: str) -> Tables:
 
 
 def song_features(spark: SparkSession, path: str) -> Tables:
-    lines = songs.good_lines(text.read_lines(spark, path))
+    source = _Lines(spark, path)
     shift = regression.number_stages("numbers", shift=S.MinimumLabelShift())
-    rows = Pipeline(stages=shift).fit(lines).transform(lines)
-    return {"rows": _preview(rows, "features", "label")}
+    rows = Pipeline(stages=shift).fit(source.lines).transform(source.lines)
+    return {"rows": _preview(rows, "features", "label"), "rejected": source.rejected()}
 
 
-def elastic_net(spark: SparkSession, path: str) -> Tables:
-    rows = _line_rows(spark, path)
-    model, errors = regression.elastic_net(rows, ["value"])
-    return {"errors": errors, "scored": _preview(model.transform(rows), *SCORED)}
-
-
-def ridge_search(spark: SparkSession, path: str) -> Tables:
-    rows = _line_rows(spark, path)
-    model, errors = regression.tuned_ridge(rows, ["value"])
+def elastic_net(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
+    source = _Lines(spark, path)
+    rows = source.rows()
+    model, errors = regression.elastic_net(rows, keys)
+    test = regression.test_rows(rows, K.SPLIT_7_3, keys, 0)
     return {
-        "grid": model.mean_table(spark), "best": model.best_table(spark), "errors": errors,
-        "scored": _preview(model.transform(rows), *SCORED),
+        "errors": errors, "scored": _preview(model.transform(test), *SCORED),
+        "rejected": source.rejected(),
     }
 
 
-def degree_two_search(spark: SparkSession, path: str) -> Tables:
-    model, errors = regression.tuned_degree_two_ridge(_line_rows(spark, path), ["value"])
+def _tuned(source: _Lines, rows: DataFrame, search, keys: Keys) -> Tables:
+    model, errors = search(rows, keys)
+    test = regression.test_rows(rows, K.SPLIT_9_1, keys, K.TUNING_SEED)
+    scored = model.transform(test).select(
+        "prediction", "label", F.col(model.getFeaturesCol()).alias("features")
+    )
     return {
-        "grid": model.mean_table(spark), "best": model.best_table(spark), "errors": errors,
+        "grid": model.mean_table(source.spark), "best": model.best_table(source.spark),
+        "errors": errors, "scored": _preview(scored, *SCORED), "rejected": source.rejected(),
     }
 
 
-def descent(spark: SparkSession, path: str) -> Tables:
-    rows = _line_rows(spark, path)
-    model, errors = regression.gradient_descent(rows, ["value"])
+def ridge_search(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
+    source = _Lines(spark, path)
+    return _tuned(source, source.rows(), regression.tuned_ridge, keys)
+
+
+def degree_two_search(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
+    source = _Lines(spark, path)
+
+    def search(rows, keys):
+        return regression.tuned_ridge(rows, keys, features="products")
+
+    return _tuned(source, regression.with_products(source.rows()), search, keys)
+
+
+def descent(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
+    source = _Lines(spark, path)
+    rows = source.rows()
+    model, errors = regression.gradient_descent(rows, keys)
+    test = regression.test_rows(rows, K.SPLIT_9_1, keys, 0)
     return {
         "history": model.history_table(spark), "weights": model.weights_table(spark),
-        "errors": errors, "scored": _preview(model.transform(rows), *SCORED),
+        "errors": errors, "scored": _preview(model.transform(test), *SCORED),
+        "rejected": source.rejected(),
     }
 
 
 def wide_csv(spark: SparkSession, path: str) -> Tables:
     records = delimited.read_delimited(spark, path).select(*K.CSV_COLUMNS)
     model, errors = regression.wide_csv_regression(records)
-    return {"errors": errors, "weights": model.weights_table(spark)}
+    checked = delimited.checked_records(spark, path)
+    return {
+        "errors": errors, "weights": model.weights_table(spark),
+        "rejected": regression.wide_csv_rejects(checked),
+    }
 
 
 def bank_ages(spark: SparkSession, path: str) -> Tables:
-    return {"ages": bank.customers_per_age(bank.read_bank(spark, path))}
+    return {
+        "ages": bank.customers_per_age(bank.read_bank(spark, path)),
+        "rejected": bank.rejected_records(spark, path),
+    }
 
 
 PROGRAMS: dict[str, Program] = {
@@ -92,3 +139,5 @@ PROGRAMS: dict[str, Program] = {
     "wide-csv": wide_csv,
     "bank-ages": bank_ages,
 }
+#: Programs that split the rows and take ``keys``: None draws every row by itself.
+SPLITTING = ("elastic-net", "ridge-search", "degree-two-search", "descent")

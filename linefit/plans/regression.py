@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -21,7 +23,6 @@ from linefit.operators.linear import (
     RidgeModel,
 )
 from linefit.operators.moments import (
-    WIDE,
     Moments,
     collect_moments,
     feature_width,
@@ -29,9 +30,11 @@ from linefit.operators.moments import (
     merge,
 )
 from linefit.operators.split import fold_number, hash_split, with_part
-from linefit.operators.tuning import RidgeGridModel, RidgeGridSearch
+from linefit.operators.tuning import RidgeGridModel, RidgeGridSearch, row_errors
 from linefit.plans import fixed_values as K
+from linefit.sources.delimited import CORRUPT, parsed
 from linefit.sources.memory import from_rows
+from linefit.sources.text import BAD_NUMBER, NON_FINITE, REASON, WIDTH
 
 Shift = S.LabelShift | S.MinimumLabelShift
 
@@ -69,8 +72,12 @@ def line_stages(shift: Shift | None = None, tokenize: bool = False) -> list:
     Fields keep their position unless ``tokenize`` asks for the tokenizer, which closes the
     gap an empty field leaves.
     """
-    first = S.LineTokenizer if tokenize else S.FieldSplitter
-    return [first(inputCol="value", outputCol="texts"), *text_stages("texts", shift=shift)]
+    if tokenize:
+        first = S.LineTokenizer(inputCol="value", outputCol="texts")
+    else:
+        needed = max(K.LABEL_FIELD, *K.FEATURE_FIELDS) + 1
+        first = S.FieldSplitter(inputCol="value", outputCol="texts", first=needed)
+    return [first, *text_stages("texts", shift=shift)]
 
 
 def prepare_lines(lines: DataFrame, tokenize: bool = False) -> PipelineModel:
@@ -93,12 +100,32 @@ def _errors(model, df: DataFrame, weights, keys, seed) -> DataFrame:
     return rmse_table(scored, by=["side"])
 
 
+# ``keys`` tell rows apart for the split; None draws every row by itself (see ``split``).
+
+
+def test_rows(df: DataFrame, weights, keys: Sequence[str] | None, seed: int) -> DataFrame:
+    """The rows a program does not train on."""
+    return with_part(df, weights, keys, seed).filter(F.col("part") > 0).drop("part")
+
+
+def _fitted_by_rows(estimator, df, weights, keys, seed):
+    """Fit on the training part and errors on both, by passes over the rows."""
+    train, *_ = hash_split(df, weights, keys, seed)
+    model = estimator.fit(train)
+    return model, _errors(model, df, weights, keys, seed)
+
+
 def elastic_net(
-    df: DataFrame, keys: Sequence[str], weights=tuple(K.SPLIT_7_3), seed: int = 0
+    df: DataFrame, keys: Sequence[str] | None, weights=tuple(K.SPLIT_7_3), seed: int = 0,
+    solver: str = "auto",
 ) -> tuple[RidgeModel, DataFrame]:
-    """Elastic net on the training part and error on both parts, in one scan."""
-    sides = _sides(df, keys, weights, seed)
-    model = ElasticNetRegression(**K.ELASTIC_NET).fit_moments(sides["train"])
+    """Elastic net on the training part and error on both parts, by moments in one scan."""
+    estimator = ElasticNetRegression(**K.ELASTIC_NET, solver=solver)
+    width = feature_width(df, "features")
+    if estimator.by_rows(width):
+        return _fitted_by_rows(estimator, df, weights, keys, seed)
+    sides = _sides(df, keys, weights, seed, width)
+    model = estimator.fit_moments(sides["train"])
     return model, _errors_from_moments(model, sides, df, weights, keys, seed)
 
 
@@ -140,21 +167,28 @@ def _errors_from_moments(
 
 
 def tuned_ridge(
-    df: DataFrame, keys: Sequence[str], seed: int = K.TUNING_SEED, features: str = "features"
+    df: DataFrame, keys: Sequence[str] | None, seed: int = K.TUNING_SEED,
+    features: str = "features", solver: str = "auto",
 ) -> tuple[RidgeGridModel, DataFrame]:
     """Grid search over strength and iteration limit, refitted on all training rows.
 
-    One scan serves folds, refit and both errors: the moments are taken per part and fold.
+    By moments one scan serves folds, refit and both errors: they are taken per part and fold.
     """
     search = RidgeGridSearch(
-        featuresCol=features, regParams=K.REG_PARAMS, maxIters=K.MAX_ITERS, numFolds=K.FOLDS
+        featuresCol=features, regParams=K.REG_PARAMS, maxIters=K.MAX_ITERS, numFolds=K.FOLDS,
+        solver=solver,
     )
     part, fold = F.col("part"), fold_number(keys, K.FOLDS, seed)
-    groups = collect_moments(
-        with_part(df, K.SPLIT_9_1, keys, seed), features=features, by=part * K.FOLDS + fold
-    )
+    parted, width = with_part(df, K.SPLIT_9_1, keys, seed), feature_width(df, features)
+    train = parted.filter(part == 0)
+    if search.by_rows(width):
+        model = search.fit_rows(train, fold, width)
+        return model, _errors(model, df, K.SPLIT_9_1, keys, seed)
+    groups = collect_moments(parted, features=features, by=part * K.FOLDS + fold, width=width)
     folds = {g: m for g, m in groups.items() if g < K.FOLDS}
-    model = search.fit_moments(folds)
+    model = search.fit_moments(
+        folds, lambda lines: row_errors(train, lines, fold, "label", features)
+    )
     sides = {"train": merge(folds.values())}
     tested = [m for g, m in groups.items() if g >= K.FOLDS]
     if tested:
@@ -163,23 +197,24 @@ def tuned_ridge(
 
 
 def tuned_degree_two_ridge(
-    df: DataFrame, keys: Sequence[str], seed: int = K.TUNING_SEED
+    df: DataFrame, keys: Sequence[str] | None, seed: int = K.TUNING_SEED, solver: str = "auto"
 ) -> tuple[RidgeGridModel, DataFrame]:
     """The same over all products of two features."""
-    expanded = S.DegreeTwo(inputCol="features", outputCol="products").transform(df)
-    return tuned_ridge(expanded, keys, seed, features="products")
+    return tuned_ridge(with_products(df), keys, seed, features="products", solver=solver)
+
+
+def with_products(df: DataFrame) -> DataFrame:
+    return S.DegreeTwo(inputCol="features", outputCol="products").transform(df)
 
 
 def gradient_descent(
-    df: DataFrame, keys: Sequence[str], seed: int = 0
+    df: DataFrame, keys: Sequence[str] | None, seed: int = 0, solver: str = "auto"
 ) -> tuple[GradientDescentModel, DataFrame]:
-    """Fit on the training part and error on both, in one scan where the width allows."""
-    estimator = GradientDescentRegression(numIterations=K.GRADIENT_ITERATIONS)
+    """Fit on the training part and error on both, by moments in one scan."""
+    estimator = GradientDescentRegression(numIterations=K.GRADIENT_ITERATIONS, solver=solver)
     width = feature_width(df, "features")
-    if width > WIDE:
-        train, _ = hash_split(df, K.SPLIT_9_1, keys, seed)
-        model = estimator.fit(train)
-        return model, _errors(model, df, K.SPLIT_9_1, keys, seed)
+    if estimator.by_rows(width):
+        return _fitted_by_rows(estimator, df, K.SPLIT_9_1, keys, seed)
     sides = _sides(df, keys, K.SPLIT_9_1, seed, width)
     model = estimator.fit_moments(sides["train"])
     return model, _errors_from_moments(model, sides, df, K.SPLIT_9_1, keys, seed)
@@ -201,11 +236,31 @@ def packed_songs(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _packed_numbers(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    numbers = F.array(*[X.to_double(F.get("values", F.lit(i))) for i in range(len(K.CSV_PACKED))])
+    return computed_once(packed_songs(records, keep), {"numbers": numbers})
+
+
+def wide_csv_rejects(checked: DataFrame) -> DataFrame:
+    """``(reason, count)`` of the records that :func:`wide_csv_regression` leaves out though
+    their year is known, from records with ``delimited.CORRUPT``."""
+    corrupt = F.col(CORRUPT).isNotNull()
+    good = _packed_numbers(checked.filter(~corrupt))
+    fields = [F.get("numbers", F.lit(i)) for i in range(len(K.CSV_PACKED))]
+    missing = reduce(or_, [f.isNull() for f in fields])
+    odd = reduce(or_, [~(f * 0.0 == 0.0) for f in fields])
+    reason = F.when(missing, BAD_NUMBER).when(odd, NON_FINITE)
+    return (
+        checked.filter(corrupt & parsed(checked)).select(F.lit(WIDTH).alias(REASON))
+        .unionByName(good.select(reason.alias(REASON)))
+        .filter(F.col(REASON).isNotNull()).groupBy(REASON).agg(F.count("*").alias("count"))
+    )
+
+
 def wide_csv_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Wide text records → ``label`` and ``features``; rows with a field that is no number
     are left out."""
-    numbers = F.array(*[X.to_double(F.get("values", F.lit(i))) for i in range(len(K.CSV_PACKED))])
-    rows = computed_once(packed_songs(records, keep), {"numbers": numbers})
+    rows = _packed_numbers(records, keep)
     prepared_rows = prepared(rows, number_stages("numbers", K.CSV_FEATURE_FIELDS))
     key = F.concat_ws(",", "values").alias("values_text")
     return finite_rows(prepared_rows).select(*keep, key, "label", "features")
@@ -219,5 +274,15 @@ def wide_csv_regression(
     return elastic_net(rows, [*identity, "values_text"], K.SPLIT_7_3, K.CSV_SEED)
 
 
+def wide_csv_regression_by_mllib(
+    records: DataFrame, identity: Sequence[str] = tuple(K.CSV_IDENTITY)
+) -> tuple[PipelineModel, DataFrame]:
+    """The same after exactly ``K.CSV_ELASTIC_NET_ITERATIONS`` of MLlib's steps."""
+    rows = wide_csv_rows(records, identity)
+    return elastic_net_by_mllib(
+        rows, [*identity, "values_text"], K.SPLIT_7_3, K.CSV_SEED, K.CSV_ELASTIC_NET_ITERATIONS
+    )
+
+
 def fitted_regression(model: PipelineModel) -> LinearRegressionModel:
     return S.stage_of(model, LinearRegressionModel)

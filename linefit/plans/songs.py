@@ -11,14 +11,16 @@ from linefit.functions import fields as X
 from linefit.operators import summary
 from linefit.plans import fixed_values as K
 from linefit.sources import text
-from linefit.sources.memory import register_view
+from linefit.sources.memory import unique_view
 
 NUMERIC = [K.LABEL_FIELD, *K.FEATURE_FIELDS]
 
 
-def good_lines(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
+def good_lines(
+    lines: DataFrame, width: int | None = K.LINE_WIDTH, finite: bool = False
+) -> DataFrame:
     """Lines that hold a song, with its year and features in ``numbers``."""
-    return text.good_lines(lines, NUMERIC, width)
+    return text.good_lines(lines, NUMERIC, width, finite=finite)
 
 
 def _year() -> Column:
@@ -37,8 +39,10 @@ def songs_from_lines(
     )
 
 
-def rejected(lines: DataFrame, width: int | None = K.LINE_WIDTH) -> DataFrame:
-    return text.rejected_lines(lines, NUMERIC, width)
+def rejected(
+    lines: DataFrame, width: int | None = K.LINE_WIDTH, finite: bool = False
+) -> DataFrame:
+    return text.rejected_lines(lines, NUMERIC, width, finite=finite)
 
 
 def questions(songs: DataFrame) -> dict[str, DataFrame]:
@@ -97,6 +101,6 @@ def question_sql(view: str = "songs") -> dict[str, str]:
     }
 
 
-def questions_by_sql(spark: SparkSession, songs: DataFrame, view: str = "songs"):
-    register_view(songs, view)
+def questions_by_sql(spark: SparkSession, songs: DataFrame):
+    view = unique_view(songs, "songs")
     return {name: spark.sql(query) for name, query in question_sql(view).items()}

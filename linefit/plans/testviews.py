@@ -64,6 +64,19 @@ def damaged_song_lines(spark: SparkSession, folder: str) -> DataFrame:
     return song_lines(spark, folder, ["l_linenumber"]).select(damaged.alias("value"))
 
 
+def non_finite_song_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines, some of them with NaN or an infinite number."""
+    kind, line = F.col("l_linenumber"), F.col("value")
+    rest = F.substring_index(line, ",", -12)
+    odd = (
+        F.when(kind == 1, F.concat(F.lit("NaN,"), rest))
+        .when(kind == 2, F.concat(F.lit("Infinity,"), rest))
+        .when(kind == 3, F.concat_ws(",", F.lit("2001.0,-Infinity"), F.substring_index(line, ",", -11)))
+        .otherwise(line)
+    )
+    return song_lines(spark, folder, ["l_linenumber"]).select(odd.alias("value"))
+
+
 def _features(*columns: Column) -> Column:
     return F.array(*columns).alias("features", metadata=width_metadata(len(columns)))
 
@@ -89,6 +102,25 @@ def charge_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_perfect_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """``label`` = 2 · price + 1, and 1e-9 more or less for even or odd orders."""
+    price = F.col("l_extendedprice") / 100000
+    term = F.when(F.col("l_orderkey") % 2 == 0, 1e-9).otherwise(-1e-9)
+    return table(spark, folder, "lineitem").select((2 * price + 1 + term).alias("label"), _features(price))
+
+
+def damaged_embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The embeddings; every third has a NaN, a null or one element too few."""
+    v, kind = F.col("features"), F.col("vec_id") % 9
+    damaged = (
+        F.when(kind == 0, F.transform(v, lambda x, i: F.when(i == 5, float("nan")).otherwise(x)))
+        .when(kind == 3, F.transform(v, lambda x, i: F.when(i != 5, x)))
+        .when(kind == 6, F.slice(v, 1, F.size(v) - 1))
+        .otherwise(v)
+    )
+    return embedding_rows(spark, folder).withColumn("features", damaged)
+
+
 def embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
     """``label`` = class number / 10, ``features`` = the embedding."""
     return table(spark, folder, "embeddings").select(
@@ -98,7 +130,9 @@ def embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def bank_lines(spark: SparkSession, folder: str, delimiter_in_job: bool = False) -> DataFrame:
+def bank_lines(
+    spark: SparkSession, folder: str, delimiter_in_job: bool = False, keep=()
+) -> DataFrame:
     """Parts as quoted lines between semicolons."""
     job = F.concat_ws(";", "p_type", "p_brand") if delimiter_in_job else F.col("p_type")
 
@@ -110,7 +144,19 @@ def bank_lines(spark: SparkSession, folder: str, delimiter_in_job: bool = False)
         quoted(F.col("p_name")), quoted(F.lit("no")),
         F.col("p_retailprice").cast("int").cast("string"),
     )
-    return table(spark, folder, "part").select(line.alias("value"))
+    return table(spark, folder, "part").select(*keep, line.alias("value"))
+
+
+def damaged_bank_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines; small parts lack a field, and some sizes or prices are words."""
+    size, line = F.col("p_size"), F.col("value")
+    damaged = (
+        F.when(size <= 10, F.substring_index(line, ";", 5))
+        .when(size <= 15, F.concat(F.lit("old;"), F.substring_index(line, ";", -5)))
+        .when(size <= 20, F.concat(F.substring_index(line, ";", 5), F.lit(";12.5")))
+        .otherwise(line)
+    )
+    return bank_lines(spark, folder, keep=["p_size"]).select(damaged.alias("value"))
 
 
 def bank(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,3 +206,19 @@ def wide_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     records = wide_records(spark, folder, ["o_orderpriority"])
     return records.select(damaged.alias("value"))
+
+
+def odd_wide_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide lines with a word or an infinite number as the tempo of some orders."""
+    priority = F.col("o_orderpriority")
+    tempo = F.col("o_custkey") % 10
+    records = wide_records(spark, folder, ["o_orderpriority", "o_custkey"]).withColumn(
+        "Tempo", F.when(tempo == 0, "fast").when(tempo == 1, "Infinity").otherwise(F.col("Tempo"))
+    )
+    line = F.concat_ws(",", *K.CSV_COLUMNS)
+    damaged = (
+        F.when(priority == "1-URGENT", F.substring_index(line, ",", 17))
+        .when(priority == "5-LOW", F.concat(line, F.lit(",x")))
+        .otherwise(line)
+    )
+    return records.select(damaged.alias("value"))

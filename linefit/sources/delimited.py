@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,18 +68,32 @@ def rejected_records(
     separator: str = ",",
 ) -> DataFrame:
     """The records :func:`read_delimited` drops, as raw text in ``record``."""
+    rows = checked_records(spark, path, columns, header, separator)
+    return rows.filter(F.col(CORRUPT).isNotNull() & parsed(rows)).select(
+        F.col(CORRUPT).alias("record")
+    )
+
+
+def parsed(checked: DataFrame) -> Column:
+    """Always true. Spark refuses queries on the raw record alone; this keeps a parsed column
+    in the scan."""
+    return F.coalesce(F.col(checked.columns[0]), F.lit("")) >= ""
+
+
+def checked_records(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    header: bool = True,
+    separator: str = ",",
+) -> DataFrame:
+    """All records; a malformed one has its raw text in the column ``CORRUPT``."""
     names = columns or column_names(spark, path, header, separator)
     schema = text_schema([*names, CORRUPT])
     # enforceSchema would compare the extra column with the header, so it stays on here.
     reader = _reader(spark, schema, "PERMISSIVE", header, separator)
-    rows = (
+    return (
         reader.option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", "true")
         .csv(path)
     )
-    # Spark refuses queries on the raw record alone; the second condition is always true and
-    # keeps one parsed column in the scan.
-    parsed = F.coalesce(F.col(names[0]), F.lit("")) >= ""
-    return rows.filter(F.col(CORRUPT).isNotNull() & parsed).select(
-        F.col(CORRUPT).alias("record")
-    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,13 @@ def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFr
     return spark.createDataFrame(list(rows), schema)
 
 
+def unique_view(df: DataFrame, name: str) -> str:
+    """Register ``df`` under a name that begins with ``name`` and is nobody else's."""
+    own = f"{name}_{uuid.uuid4().hex}"
+    register_view(df, own)
+    return own
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` queryable by name in this session's SQL."""
     df.createOrReplaceTempView(name)

@@ -123,13 +123,9 @@ def test_errors_of_a_perfect_fit_come_from_the_rows(spark):
 
 
 def test_wide_descent_program(spark, folder, monkeypatch):
-    from linefit.operators import moments
-
     rows = T.price_rows(spark, folder)
     expected, errors = regression.gradient_descent(rows, T.LINE_KEYS)
-    monkeypatch.setattr(moments, "WIDE", 2)
-    monkeypatch.setattr(regression, "WIDE", 2)
     monkeypatch.setattr(K, "GRADIENT_ITERATIONS", 3)
-    model, wide_errors = regression.gradient_descent(rows, T.LINE_KEYS)
+    model, wide_errors = regression.gradient_descent(rows, T.LINE_KEYS, solver="rows")
     np.testing.assert_allclose(model.history, expected.history[:3], rtol=1e-9)
     assert wide_errors.count() == errors.count() == 2
