@@ -11,6 +11,7 @@ from linefit.llm import (
     bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, simhash, warc,
 )
 from linefit.llm.common import table
+from linefit.llm.twins import TWINS  # noqa: F401  the SQL of those that SQL can express
 
 #: Example of a secret; a real one comes from the caller.
 SECRET = "an example, not a secret"
@@ -92,6 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, pipeline,
     )
 }
-
-#: DuckDB SQL for the queries that SQL can express over whole tables.
-TWINS: dict[str, str] = {}
