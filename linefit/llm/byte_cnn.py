@@ -28,6 +28,8 @@ from linefit.llm.common import once_per_process, pieces_of
 
 WINDOW, EMBEDDED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 PER_LANGUAGE, EPOCHS, BATCH, RATE = 1500, 6, 64, 0.004
+#: Parts in which the rows of a label are thinned to the sample's size before they meet.
+PARTS = 64
 UNKNOWN = "und"
 #: Windows that are in memory at once when the network is applied.
 AT_ONCE = 256
@@ -149,10 +151,13 @@ def learn(
         F.col(label).alias("label"), order.alias("order"), F.col(key).alias("key"),
         F.substring(body, begin, F.lit(WINDOW)).alias("snippet"),
     )
-    nth = F.row_number().over(W.partitionBy("label").orderBy("order", "key", "snippet"))
-    sample = rows.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy(
-        "label", "nth"
-    ).select("label", "snippet").collect()  # languages × per_language short texts
+    # a frequent label is first thinned in parts, so no task takes in all of its rows
+    part = F.pmod(F.col("order"), F.lit(PARTS))
+    for spread in (["label", part], ["label"]):
+        nth = F.row_number().over(W.partitionBy(*spread).orderBy("order", "key", "snippet"))
+        rows = rows.withColumn("nth", nth).where(F.col("nth") <= per_language)
+    sample = rows.orderBy("label", "nth").select("label", "snippet").collect()
+    # languages × per_language short texts
     if not sample:
         return None
     languages = sorted({r["label"] for r in sample})

@@ -33,7 +33,9 @@ from linefit.llm.files import open_store
 from linefit.llm.tokens import DEFAULT, word_encoder
 from linefit.sources.staging import new_path, remove_at_exit
 
-END_ID, MAX_BITS, BLOCK = 1, 18, 1024
+END_ID, MAX_BITS, BLOCK = 1, 18, 256
+#: Ids whose bits are placed together.
+STRETCH = 1 << 16
 #: A file is closed once it holds so many ids; a longer document has a file of its own.
 FILE_IDS = 2 << 20
 MAGIC = b"IDHUFF01"
@@ -97,24 +99,28 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, block: int = BLOCK):
-    """The bits as big-endian words, with a word to spare, and the bit at which blocks start."""
-    sizes = lengths[ids].astype(np.int64)
-    ends = np.cumsum(sizes)
-    at = ends - sizes
-    total = int(ends[-1]) if len(ids) else 0
-    words = np.zeros(total // 64 + 2, np.uint64)
-    if len(ids):
+    """The bits as big-endian words, with a word to spare, and the bit at which blocks start.
+
+    A stretch of ids is placed at a time, so that its arrays stay in the processor's cache.
+    """
+    both = codes << np.uint64(8) | lengths  # one look-up gives code and length
+    total = int(sum(lengths[ids[i : i + STRETCH]].sum(dtype=np.int64) for i in range(0, len(ids), STRETCH)))
+    words, offsets, base = np.zeros(total // 64 + 2, np.uint64), [], 0
+    for start in range(0, len(ids), STRETCH):
+        found = both[ids[start : start + STRETCH]]
+        sizes, code = (found & np.uint64(255)).astype(np.int64), found >> np.uint64(8)
+        ends = base + np.cumsum(sizes)
+        at = ends - sizes
+        base = int(ends[-1])
+        offsets.append(at[-start % block :: block])
         word, over = at >> 6, (at & 63) + sizes - 64
-        code = codes[ids]
-        high = np.where(
-            over <= 0, code << np.maximum(-over, 0).astype(np.uint64),
-            code >> np.maximum(over, 0).astype(np.uint64),
-        )
-        firsts = np.flatnonzero(np.diff(word, prepend=-1))
-        words[word[firsts]] = np.add.reduceat(high, firsts)  # bits never overlap
         split = np.flatnonzero(over > 0)
-        words[word[split] + 1] |= code[split] << (64 - over[split]).astype(np.uint64)
-    return words.astype(">u8"), at[::block].astype("<u8")
+        high = code << np.maximum(-over, 0).astype(np.uint64)
+        high[split] >>= over[split].astype(np.uint64)
+        firsts = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[firsts]] += np.add.reduceat(high, firsts)  # bits never overlap
+        words[word[split] + 1] += code[split] << (64 - over[split]).astype(np.uint64)
+    return words.astype(">u8"), np.concatenate([np.empty(0, "<u8"), *offsets]).astype("<u8")
 
 
 def unpack_bits(words, offsets, n: int, table, block: int = BLOCK) -> np.ndarray:
@@ -175,9 +181,10 @@ def ordered_ids(
     docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = DEFAULT,
     end_id: int = END_ID,
 ) -> tuple[DataFrame, str]:
-    """Staged (part, n, key, ids): parts ascend by key, and rows ascend within a part.
+    """Staged (part, key, local, n, ids): parts ascend by key, and rows ascend within a part.
 
-    ``local`` counts the ids before a document within its part.
+    ``local`` counts the ids before a document within its part. It is negative in one more row
+    per part, whose ``ids`` are how often each id occurs in the part.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
 
@@ -187,16 +194,26 @@ def ordered_ids(
         encoder = word_encoder(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         part, local = TaskContext.get().partitionId(), 0
+        counts = np.zeros(max(encoder.library.get_vocab_size(), end_id + 1), "<i8")
         for batch in pieces_of(batches, "text"):
             ids = [x + end for x in encoder.encode(batch.column("text").to_pylist())]
             sizes = np.array([len(x) // encoder.dtype.itemsize for x in ids], np.int64)
             before = local + np.cumsum(sizes) - sizes
             local += int(sizes.sum())
+            for start in range(0, len(ids), 64):
+                some = np.frombuffer(b"".join(ids[start : start + 64]), encoder.dtype)
+                counts += np.bincount(some, minlength=len(counts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(ids), pa.int32()), batch.column("key"),
                  pa.array(before), pa.array(sizes), pa.array(ids, pa.binary())],
                 ["part", "key", "local", "n", "ids"],
             )
+        if local:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.array([-1]),
+                 pa.array([local]), pa.array([counts.tobytes()], pa.binary())],
+                ["part", "key", "local", "n", "ids"],
+            )
 
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
     return staged(
@@ -204,20 +221,21 @@ def ordered_ids(
     )
 
 
-def id_counts(ids: DataFrame, symbols: int, width: int) -> np.ndarray:
-    """How often each id occurs; a task sends one row per id it has met."""
+def id_counts(ids: DataFrame, symbols: int) -> np.ndarray:
+    """How often each id occurs, from the parts' own counts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(symbols, np.int64)
-        for batch in pieces_of(batches, "ids"):
+        for batch in batches:
             for data in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(data, f"<u{width}"), minlength=symbols)
+                total += np.frombuffer(data, "<i8")
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), pa.array(total[used])], ["id", "n"]
         )
 
-    rows = ids.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    parts = ids.where("local < 0").select("ids")
+    rows = parts.mapInArrow(unfold, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(symbols, np.int64)
     for r in rows.collect():  # no more rows than the vocabulary has ids
         counts[r["id"]] = r["n"]
@@ -233,7 +251,7 @@ def write(
     encoder = word_encoder(tokenizer)
     symbols, width = max(encoder.library.get_vocab_size(), end_id + 1), encoder.dtype.itemsize
     ids, path = ordered_ids(docs, key, text, tokenizer, end_id)
-    lengths = code_lengths(id_counts(ids, symbols, width), max_bits)
+    lengths = code_lengths(id_counts(ids, symbols), max_bits)
     codes = canonical_codes(lengths)
     folder = new_path(spark, "huffman")
     remove_at_exit(spark, folder)
@@ -271,7 +289,7 @@ def write(
             yield close(part, keys, sizes, data, first)
 
     archive, _ = staged(
-        ids.mapInArrow(encode, "part int, first long, n long, path string"), "huffman-files"
+        ids.where("local >= 0").mapInArrow(encode, "part int, first long, n long, path string"), "huffman-files"
     )
     discard(spark, path)
     return archive

@@ -19,6 +19,8 @@ Null text stays null; rows without entities pass unchanged; rows and columns are
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,8 +55,6 @@ KINDS = [
     ("[αεηιουωάέήίόύώ]", "αεηιο"), ("[ΑΕΗΙΟΥΩΆΈΉΊΌΎΏ]", "ΑΕΗΙΟ"),
     ("[\\p{IsGreek}&&\\p{Ll}]", "βγδκλμνπρτ"), ("[\\p{IsGreek}&&\\p{Lu}]", "ΒΓΔΚΛΜΝΠΡΤ"),
 ]
-HEX = [("[0-9]", "0123456789"), ("[a-f]", "abcdef")]
-
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _CAPITAL = "\\p{Lu}[\\p{L}'’-]+"
 _GIVEN = "|".join(n for names in GIVEN.values() for n in names)
@@ -132,13 +132,20 @@ def _part_kind(part: Column) -> Column:
     return out.otherwise("surname")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is worked out once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _units(match: Column) -> Column:
     """(kind, raw) of what has a surrogate of its own: a match, or each word of a name."""
-    kind = _kind(match)
     unit = lambda k, r: F.struct(k.alias("kind"), r.alias("raw"))
-    return F.when(
-        kind == "name", F.transform(F.split(match, " "), lambda p: unit(_part_kind(p), p))
-    ).otherwise(F.array(unit(kind, match)))
+    return _let(
+        _kind(match),
+        lambda kind: F.when(
+            kind == "name", F.transform(F.split(match, " "), lambda p: unit(_part_kind(p), p))
+        ).otherwise(F.array(unit(kind, match))),
+    )
 
 
 def _norm(kind: Column, raw: Column) -> Column:
@@ -154,19 +161,18 @@ def _pick(seed: Column, place: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(seed, place), F.lit(n)).cast("int")
 
 
-def _letters(raw: Column, seed: Column, keep: int = 0, kinds: list = KINDS) -> Column:
-    """``raw`` with every letter and digit, but the first ``keep`` of them, drawn anew in kind."""
-    def place(i):
-        return F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^\\p{L}\\p{N}]", ""))
+def _letters(raw: Column, keep: Column, hexadecimal: Column, pick) -> Column:
+    """``raw`` with every letter and digit but the first ``keep`` ones drawn anew in kind.
 
+    ``pick(i, n)`` draws one of ``n`` for the character at ``i``.
+    """
     def drawn(c, i):
-        at = place(i)
-        out = F.when(at <= keep, c)
-        for pattern, alphabet in kinds:
-            out = out.when(
-                c.rlike(pattern),
-                F.substring(F.lit(alphabet), _pick(seed, at, len(alphabet)) + 1, F.lit(1)),
-            )
+        out = F.when(i <= keep, c).when(
+            hexadecimal & c.rlike("[a-f]"), F.substring(F.lit("abcdef"), pick(i, 6) + 1, F.lit(1))
+        )
+        for pattern, alphabet in KINDS:
+            chosen = F.substring(F.lit(alphabet), pick(i, len(alphabet)) + 1, F.lit(1))
+            out = out.when(c.rlike(pattern), chosen)
         return out.otherwise(c)
 
     return F.array_join(
@@ -188,59 +194,74 @@ def _laid_out(raw: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw)), char), "")
 
 
-def _number(norm: Column, seed: Column, first: Column) -> Column:
-    """As many digits as ``norm`` has, of which ``first`` is the first."""
-    rest = F.transform(F.sequence(F.lit(2), F.length(norm)), lambda i: _pick(seed, i, 10).cast("string"))
-    return F.concat(first, F.array_join(rest, ""))
+def _given(secret: str) -> dict[str, str]:
+    """Each given name's surrogate: its list is turned by a keyed step, so distinct names stay
+    distinct and none stays as it is."""
+    out = {}
+    for kind, names in GIVEN.items():
+        digest = hashlib.sha256(f"{secret}|{kind}".encode()).digest()
+        turn = int.from_bytes(digest[:8], "big") % (len(names) - 1) + 1
+        out |= {name: names[(i + turn) % len(names)] for i, name in enumerate(names)}
+    return out
 
 
 def surrogate(kind: Column, raw: Column, attempt: Column, secret: str) -> Column:
     """What replaces an entity written as ``raw``."""
-    norm = _norm(kind, raw)
-
     def seed(k, *of):
         return F.sha2(F.concat_ws("|", F.lit(secret), k, *of), 256)
 
-    own = seed(kind, norm, attempt.cast("string"))
-    longer = F.repeat(F.lit("x"), F.floor(attempt / 8).cast("int"))  # short forms may run out
-    country = _country(raw)
-    phone = F.concat(
-        country,
-        _laid_out(
-            F.substring(raw, F.length(country) + 1, F.length(raw)),
-            _number(norm, own, (_pick(own, F.lit(1), 8) + 2).cast("string")),
-        ),
+    def number(e) -> Column:
+        """As many digits as the entity has, laid out as its own."""
+        norm, own = e["norm"], e["own"]
+        drawn = F.transform(F.sequence(F.lit(2), F.length(norm)), lambda i: _pick(own, i, 10).cast("string"))
+        first = F.when(kind == "card", F.substring(norm, 1, 1)).when(
+            kind == "ssn", (_pick(own, F.lit(1), 8) + 1).cast("string")
+        ).otherwise((_pick(own, F.lit(1), 8) + 2).cast("string"))
+        digits = F.concat(first, F.array_join(drawn, ""))
+        body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+        checked = F.concat(body, F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string"))
+        country = F.when(kind == "phone", _country(raw)).otherwise("")
+        rest = F.substring(raw, F.length(country) + 1, F.length(raw))
+        return F.concat(country, _laid_out(rest, F.when(kind == "card", checked).otherwise(digits)))
+
+    def spelled(e) -> Column:
+        """Letters and digits drawn anew; an address's domain is drawn by itself."""
+        cut = F.when(kind == "email", F.length(e["word"])).otherwise(1 << 20)
+        at = F.when(kind == "email", F.concat(e["word"], F.lit("@"), F.substring_index(e["domain"], ".", 1)))
+        top = F.regexp_extract(e["domain"], "(?i)\\.(com|net|org)$", 1)
+        tail = F.when(kind == "email", F.concat(F.lit(".example."), F.when(top == "", "com").otherwise(top)))
+        drawn = _letters(
+            F.coalesce(at, e["word"]), F.when(kind == "key", 4).otherwise(0),
+            (kind == "secret") & raw.rlike("^[0-9a-f]+$"),
+            lambda i, n: _pick(F.when(i <= cut, e["own"]).otherwise(e["of_domain"]), F.when(i <= cut, i).otherwise(i - cut), n),
+        )
+        return F.concat(drawn, F.coalesce(tail, e["ending"]))
+
+    octets = lambda e: F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_pick(e["own"], i, 254) + 1).cast("string")), "."
     )
-    body = F.substring(_number(norm, own, F.substring(norm, 1, 1)), F.lit(1), F.length(norm) - 1)
-    check = F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    ssn = _laid_out(raw, _number(norm, own, (_pick(own, F.lit(1), 8) + 1).cast("string")))
-    octets = F.array_join(
-        F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_pick(own, i, 254) + 1).cast("string")), "."
+    # short forms may run out of surrogates, so later attempts are longer
+    more = F.repeat(F.when(kind == "secret", "0").otherwise("x"), F.floor(attempt / 8).cast("int"))
+    ending = F.when(
+        kind == "surname", F.regexp_extract(raw, "(?:ов|ев|ин|ова|ева|ина|ский|ская)$", 0)
+    ).otherwise("")
+    word = F.when(kind == "email", F.substring_index(raw, "@", 1)).otherwise(
+        F.substring(raw, F.lit(1), F.length(raw) - F.length(ending))
     )
     domain = F.substring_index(raw, "@", -1)
-    top = F.regexp_extract(domain, "(?i)\\.(com|net|org)$", 1)
-    email = F.concat(
-        _letters(F.concat(F.substring_index(raw, "@", 1), longer), own), F.lit("@"),
-        _letters(F.substring_index(domain, ".", 1), seed(F.lit("domain"), F.lower(domain))),
-        F.lit(".example."), F.when(top == "", "com").otherwise(top),
+    norm = _norm(kind, raw)
+    entity = F.struct(
+        norm.alias("norm"), seed(kind, norm, attempt.cast("string")).alias("own"),
+        F.when(kind == "key", word).otherwise(F.concat(word, more)).alias("word"), ending.alias("ending"),
+        domain.alias("domain"), F.when(kind == "email", seed(F.lit("domain"), F.lower(domain))).alias("of_domain"),
     )
-    ending = F.regexp_extract(raw, "(?:ов|ев|ин|ова|ева|ина|ский|ская)$", 0)
-    stem = F.concat(F.substring(raw, F.lit(1), F.length(raw) - F.length(ending)), longer)
-    out = (
-        F.when(kind == "phone", phone).when(kind == "card", _laid_out(raw, F.concat(body, check)))
-        .when(kind == "ssn", ssn).when(kind == "ipv4", octets).when(kind == "email", email)
-        .when(kind == "key", _letters(raw, own, 4))
-        .when((kind == "secret") & raw.rlike("^[0-9a-f]+$"), _letters(F.concat(raw, F.repeat(F.lit("0"), F.length(longer))), own, 0, HEX))
-        .when(kind == "secret", _letters(F.concat(raw, longer), own))
-        .when(kind == "surname", F.concat(_letters(stem, own), ending))
+    given = F.create_map(*[F.lit(x) for pair in _given(secret).items() for x in pair])
+    return F.when(kind.startswith("given_"), F.try_element_at(given, raw)).when(
+        kind.isNull() | (kind == "title"), raw
+    ).otherwise(
+        _let(entity, lambda e: F.when(kind.isin("phone", "card", "ssn"), number(e))
+             .when(kind == "ipv4", octets(e)).otherwise(spelled(e)))
     )
-    for name, names in GIVEN.items():
-        # a rotation of the list by a keyed step: distinct names stay distinct, none stays
-        turn = _pick(seed(F.lit(name)), F.lit(0), len(names) - 1) + 1
-        listed = F.array(*map(F.lit, names))
-        at = F.array_position(listed, raw).cast("int") - 1
-        out = out.when(kind == f"given_{name}", F.element_at(listed, (at + turn) % len(names) + 1))
-    return out.otherwise(raw)
 
 
 def _entity(kind: Column, norm: Column) -> Column:

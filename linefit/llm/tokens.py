@@ -22,6 +22,7 @@ DEFAULT = "word_bpe_49k.json"
 KEPT_WORDS, KEPT_LENGTH = 200_000, 64
 #: Characters that only Python takes as white space.
 _DOUBTFUL = re.compile("[\x1c-\x1f]")
+_BEYOND_LATIN = re.compile("[^\x00-\xff]")
 
 
 def tokenizer_path(name: str) -> str:
@@ -84,9 +85,9 @@ class MergeTable:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letters = {b: chr(b) for b in shown}
         letters |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in letters)}
-        self.inner = np.array([vocabulary[letters[b]] for b in range(256)], np.int64)
-        self.last = np.array([vocabulary[letters[b] + "</w>"] for b in range(256)], np.int64)
-        self.merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
+        self.inner = np.array([vocabulary[letters[b]] for b in range(256)], np.int32)
+        self.last = np.array([vocabulary[letters[b] + "</w>"] for b in range(256)], np.int32)
+        self.merged = np.array([vocabulary[a + b] for a, b in pairs], np.int32)
         keys = np.array([vocabulary[a] << 32 | vocabulary[b] for a, b in pairs], np.int64)
         # an open table: where a key's place is taken, the next ones are tried
         self.bits = 19
@@ -108,7 +109,7 @@ class MergeTable:
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left << 32 | right
+        keys = left.astype(np.int64) << 32 | right
         at = self._place(keys)
         found = np.where(self.keys[at] == keys, self.ranks[at], self.NONE)
         open_ = np.flatnonzero((found == self.NONE) & (self.keys[at] >= 0))
@@ -130,12 +131,12 @@ class MergeTable:
         begins = (kind != np.append(0, kind[:-1])) | (kind == 2)
         used = kind > 0
         word = np.cumsum(~used)[used]
-        part = np.cumsum(begins[used]) - 1
+        part = np.cumsum(begins[used], dtype=np.int32)
         data = data[used]
         last = np.append(part[1:] != part[:-1], True)
         symbols = np.where(last, self.last[data], self.inner[data])
         done_ids, done_at = [], []
-        place = np.arange(len(symbols))  # of a symbol's first byte
+        place = np.arange(len(symbols), dtype=np.int32)  # of a symbol's first byte
         rank = np.full(len(symbols), self.NONE, np.int32)
         inside = np.flatnonzero(~last)
         rank[inside] = self._rank(symbols[inside], symbols[inside + 1])
@@ -190,16 +191,30 @@ class WordEncoder:
         return np.array(ids, self.dtype).tobytes()
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        simple = MergeTable.SIMPLE.fullmatch if self.table else lambda word: None
-        plain = [w for w in words if simple(w)]
+        if not self.table:
+            return self._by_library(words)
+        simple = MergeTable.SIMPLE.fullmatch
+        plain, other = [], []
+        for word in words:
+            (plain if simple(word) else other).append(word)
+        # a comma or stop after a letter is a part of its own, and often the rest is known
+        ended = [w for w in plain if w[-1] in ",." and w[-2:-1].isalpha()]
+        known, cores = self.known, {w[:-1] for w in ended}
+        bare = list({*(w for w in plain if w[-1] not in ",." or not w[-2:-1].isalpha()),
+                     *(w for w in cores if w not in known), ",", "."})
+        found = dict(zip(bare, self._cut(*self.table.ids_of(bare))))
+        for word in ended:
+            core = word[:-1]
+            found[word] = (found.get(core) or known[core]) + found[word[-1]]
+        for mark in {",", "."}.difference(plain):
+            del found[mark]
+        found.update(self._by_library(other))
+        return found
+
+    def _by_library(self, words: list[str]) -> dict[str, bytes]:
         found = {}
-        if plain:
-            found.update(zip(plain, self._cut(*self.table.ids_of(plain))))
-        if len(plain) == len(words):
-            return found
-        other = [w for w in words if w not in found]
-        for start in range(0, len(other), 20_000):
-            part = other[start : start + 20_000]
+        for start in range(0, len(words), 20_000):
+            part = words[start : start + 20_000]
             encoding = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
             ends = np.searchsorted(np.array(encoding.word_ids), np.arange(len(part)), side="right")
             found.update(zip(part, self._cut(np.array(encoding.ids), ends)))
@@ -223,12 +238,16 @@ class WordEncoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
             self.known, self.older = {}, self.known
-        split = [None if _DOUBTFUL.search(t) else t.split() for t in texts]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(set(words).difference(self.known))
-        known, older = self.known, self.older
+        known, older, new, split = self.known, self.older, set(), []
+        for text in texts:
+            words = None
+            if not _DOUBTFUL.search(text):
+                # lower case is what the library makes of it later, and fewer words are new;
+                # but special tokens are sought in the text as it is
+                as_is = "<|" in text or _BEYOND_LATIN.search(text)
+                words = (text if as_is else text.lower()).split()
+                new.update(set(words).difference(known))
+            split.append(words)
         known.update((w, older[w]) for w in new if w in older)
         found = self._learn([w for w in new if w not in known])
         known.update(found)
