@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.llm import (
-    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, simhash, warc,
+    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, simhash, spelling,
+    warc,
 )
 from linefit.llm.common import table
 from linefit.llm.twins import TWINS  # noqa: F401  the SQL of those that SQL can express
@@ -81,6 +82,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(index).drop("url")
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +95,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_surrogates, op2_prefix_forest, op3_product_quantiser, op4_bpe_tree, op5_byte_cnn,
-        op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, pipeline,
+        op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, op11_spelling, pipeline,
     )
 }
