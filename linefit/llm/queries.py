@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.llm import (
-    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, simhash, spelling,
-    warc,
+    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, secret_scan,
+    simhash, spelling, warc,
 )
 from linefit.llm.common import table
 from linefit.llm.twins import TWINS  # noqa: F401  the SQL of those that SQL can express
@@ -86,6 +86,12 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
 
+def op12_secret_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    field = secret_scan.learn(docs, source="source")
+    return secret_scan.digests(secret_scan.scan(docs, field, source="source"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +101,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_surrogates, op2_prefix_forest, op3_product_quantiser, op4_bpe_tree, op5_byte_cnn,
-        op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, op11_spelling, pipeline,
+        op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, op11_spelling,
+        op12_secret_crf, pipeline,
     )
 }
