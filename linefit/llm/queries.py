@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.llm import (
-    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, product_quantiser, secret_scan,
-    simhash, spelling, warc,
+    bpe_tree, byte_cnn, chat, huffman, packing, pii, prefix_forest, prefix_trie, product_quantiser,
+    secret_scan, simhash, spelling, warc,
 )
 from linefit.llm.common import table
 from linefit.llm.twins import TWINS  # noqa: F401  the SQL of those that SQL can express
@@ -92,6 +92,25 @@ def op12_secret_crf(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs, field, source="source"))
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversations that begin with the first turns of another: of c − c % 5 (the sign of c kept)
+    as many as a hash of c says, then c's own turns after that many."""
+    conv = F.col("conv")
+    borrowed = F.crc32(conv.cast("string").cast("binary")) % 9
+    own = turns.where((F.col("kind") == prefix_trie.MARK) | (F.col("nth") >= borrowed)).withColumn("kind", F.col("kind") * 2)
+    lent = (
+        turns.where((F.col("kind") == prefix_trie.TURN) & (conv % 5 == 0) & (F.col("nth") < 8))
+        .withColumn("from", conv).withColumn("conv", F.explode(F.sequence(conv - 4, conv + 4)))
+        .where((conv - conv % 5 == F.col("from")) & (F.col("nth") < borrowed)).drop("from")
+    )
+    return own.unionByName(lent)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, _ = prefix_trie.turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(rebuilt(turns))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_surrogates, op2_prefix_forest, op3_product_quantiser, op4_bpe_tree, op5_byte_cnn,
         op6_bin_slack, op7_huffman, op8_simhash, op9_chat, op10_warc, op11_spelling,
-        op12_secret_crf, pipeline,
+        op12_secret_crf, op13_prefix_trie, pipeline,
     )
 }

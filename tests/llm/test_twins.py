@@ -24,4 +24,4 @@ def test_query_equals_twin(spark, name, folder):
 
 def test_registered():
     assert set(queries.TWINS) < set(queries.QUERIES)
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([*(f"op{i}" for i in range(1, 13)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
