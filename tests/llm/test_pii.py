@@ -100,7 +100,7 @@ def test_query_leaves_no_planted_entity(spark, folder):
 
 
 def test_no_python_in_the_plan(spark, folder):
-    from tests.conftest import plan_of
+    from plan_text import plan_of
 
     plan = plan_of(queries.op1_pii_surrogates(spark, folder).where(F.col("n_entities") > 0))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
