@@ -45,7 +45,3 @@ def jobs_of(spark):
         return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     return run
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
