@@ -1,11 +1,14 @@
 """Ridge and elastic net at any width, without a matrix of products.
 
-Every fold's rows are read in one aggregate per iteration, which carries the weights of all
-models (folds × strengths) through the rows as one matrix product per Arrow batch. Rows are
-standardised on the way, so the problem solved is that of :class:`linear.RidgePath`: conjugate
-gradients settle the ridge systems, proximal steps with momentum the elastic nets.
+The rows are staged once as binary matrices (:class:`BlockRows`). Every iteration reads them in
+one aggregate, which carries the weights of all models through a block as one matrix product.
+Rows are standardised on the way, so the problem solved is that of :class:`linear.RidgePath`:
+conjugate gradients settle the ridge systems, proximal steps with momentum the elastic nets.
 
-A task sends (groups × models × width) numbers per iteration; they are added in two steps.
+The strengths of a grid share a fold's Krylov space (:func:`solve_shifted`): one vector per fold
+goes through the rows, and the solutions of all strengths follow from its image.
+
+A task sends (groups × vectors × width) numbers per iteration; they are added in two steps.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -22,8 +26,10 @@ from pyspark.sql import functions as F
 
 from linefit.functions import vectors as V
 from linefit.operators import moments as M
+from linefit.sources.staging import kept_table
 
 TOLERANCE = 1e-11
+BLOCK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -53,8 +59,9 @@ class Rows:
             F.col(label).cast("double").alias("y"),
         )
 
-    def totals(self, function, length: int) -> dict[int, np.ndarray]:
-        """Sum per group of ``function(z)``, ``length`` numbers for a matrix of rows."""
+    def partials(self, function, length: int) -> DataFrame:
+        """(group, row) of each task: its sum of ``function(z)`` over matrices z of rows, and as
+        group −1 the number of unusable rows."""
         read = M._batch_reader(self.width)
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,32 +75,38 @@ class Rows:
                     sums[int(g)] = sums[int(g)] + found if int(g) in sums else found
             if bad:
                 sums[-1] = np.append(float(bad), np.zeros(length - 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array(list(sums.values()), pa.list_(pa.float64()))],
-                ["group", "row"],
-            )
+            yield _sums_batch(sums)
+
+        return self.table.mapInArrow(partial, SUMS)
 
+    def totals(self, function, length: int) -> dict[int, np.ndarray]:
+        """Sum per group of ``function(z)``, ``length`` numbers for a matrix of rows."""
         branch = (F.spark_partition_id() % M.BRANCHES).alias("branch")
         table = (
-            self.table.mapInArrow(partial, "group int, row array<double>")
+            self.partials(function, length)
             .groupBy("group", branch).agg(Summarizer.sum(array_to_vector("row")).alias("row"))
             .groupBy("group").agg(Summarizer.sum(F.col("row")).alias("row"))
             .collect()  # one row of ``length`` numbers per group
         )
         found = {r["group"]: r["row"].toArray() for r in table}
         if -1 in found:
-            raise M.BadRows(f"{int(found[-1][0])} rows hold a null, non-finite or wrongly sized value; "
-                            "take them out first (see finite_rows)")
+            raise _bad_rows(int(found[-1][0]))
         if not found:
             raise ValueError("no rows to fit on")
         return found
 
-    def scales(self) -> dict[int, np.ndarray]:
-        """Per group: n, sums and sums of squares around a first row's values."""
+    def first_row(self) -> np.ndarray | None:
+        """Features and label of some row, None if there is none."""
         first = self.table.first()
         if first is None:
+            return None
+        return np.append(np.array(first["x"] or [0.0] * self.width, float), first["y"] or 0.0)
+
+    def scales(self) -> dict[int, np.ndarray]:
+        """Per group: n, sums and sums of squares around a first row's values."""
+        origin = self.first_row()
+        if origin is None:
             raise ValueError("no rows to fit on")
-        origin = np.append(np.array(first["x"] or [0.0] * self.width, float), first["y"] or 0.0)
         if origin.shape != (self.width + 1,) or not np.isfinite(origin).all():
             origin = np.zeros(self.width + 1)
         self.origin = origin
@@ -105,12 +118,112 @@ class Rows:
         return self.totals(sums, 2 * self.width + 3)
 
 
+SUMS = "group int, row array<double>"
+BLOCKS = "block long, group int, n int, bad long, rows binary"
+
+
+def _sums_batch(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int32()), pa.array(list(sums.values()), pa.list_(pa.float64()))],
+        ["group", "row"],
+    )
+
+
+def _bad_rows(bad: int) -> M.BadRows:
+    return M.BadRows(f"{bad} rows hold a null, non-finite or wrongly sized value; "
+                     "take them out first (see finite_rows)")
+
+
+class BlockRows(Rows):
+    """The same rows, staged once as matrices of doubles (features…, label) of at most
+    ``BLOCK_BYTES``, each of one group; :meth:`release` removes them."""
+
+    def __init__(self, df: DataFrame, label: str, features: str, by: Column | None, width: int):
+        super().__init__(df, label, features, by, width)
+        self.blocks, self.release = kept_table(
+            self.table.mapInArrow(_packer(width), BLOCKS), "row-blocks", compression="none"
+        )
+        try:
+            bad = self.blocks.agg(F.sum("bad")).first()[0]
+            if bad:
+                raise _bad_rows(bad)
+        except BaseException:
+            self.release()
+            raise
+
+    def __enter__(self) -> BlockRows:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+    def partials(self, function, length: int) -> DataFrame:
+        columns = self.width + 1
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                rows = batch.column("rows")
+                for i, g in enumerate(batch.column("group").to_pylist()):
+                    z = np.frombuffer(rows[i].as_buffer()).reshape(-1, columns)
+                    found = function(z)
+                    sums[g] = sums[g] + found if g in sums else found
+            yield _sums_batch(sums)
+
+        return self.blocks.where("n > 0").select("group", "rows").mapInArrow(partial, SUMS)
+
+    def first_row(self) -> np.ndarray | None:
+        head = F.expr(f"substring(rows, 1, {8 * (self.width + 1)})").alias("head")
+        first = self.blocks.where("n > 0").select(head).first()
+        return None if first is None else np.frombuffer(bytes(first["head"]))
+
+
+def _packer(width: int):
+    """Rows of (group, x, y) into blocks; a last row without any counts the unusable rows."""
+    read = M._batch_reader(width)
+    most = max(1, BLOCK_BYTES // (8 * (width + 1)))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        sizes: dict[int, int] = {}
+        number, bad = TaskContext.get().partitionId() << 32, 0
+
+        def block(group, z, unusable=0):
+            nonlocal number
+            number += 1
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            values = (number, group, len(z), unusable, z.tobytes())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(values, kinds)], ["block", "group", "n", "bad", "rows"]
+            )
+
+        for batch, z, position, unusable in read(batches):
+            bad += unusable
+            groups = batch.column("group").to_numpy(zero_copy_only=False)[position]
+            for g in np.unique(groups).tolist():
+                held.setdefault(g, []).append(z[groups == g])
+                sizes[g] = sizes.get(g, 0) + len(held[g][-1])
+                if sizes[g] >= most:
+                    whole = np.concatenate(held[g])
+                    for start in range(0, len(whole) - most + 1, most):
+                        yield block(int(g), whole[start : start + most])
+                    rest = whole[len(whole) // most * most :]
+                    held[g], sizes[g] = [rest], len(rest)
+        for g, parts in held.items():
+            if sizes[g]:
+                yield block(int(g), np.concatenate(parts))
+        if bad:
+            yield block(0, np.zeros((0, width + 1)), bad)
+
+    return packed
+
+
 class Problem:
     """All models over the same rows, in standard units of each one's training rows."""
 
-    def __init__(self, rows: Rows, models: Sequence[Model]):
+    def __init__(self, rows: Rows, models: Sequence[Model], scales: dict | None = None):
         self.rows, self.models = rows, list(models)
-        self.scales = rows.scales()
+        self.scales = rows.scales() if scales is None else scales
         self.groups = sorted(self.scales)
         d = rows.width
         mean, deviation, self.n = [], [], []
@@ -159,6 +272,10 @@ class Problem:
             self._proximal(relative * share, relative * (1 - share), max_iter)
             if share.any() else self._conjugate(relative, max_iter)
         )
+        return self.solutions(w, gap)
+
+    def solutions(self, w: np.ndarray, gap: np.ndarray) -> list[Solution]:
+        """Weights in standard units as those of the rows, with intercepts."""
         d, out = self.rows.width, []
         for k in range(len(self.models)):
             weights = w[k] * self.deviation[k, -1] * self.inverse[k, :d]
@@ -213,8 +330,59 @@ def solve(
     df: DataFrame, models: Sequence[Model], label: str, features: str, width: int,
     by: Column | None = None, max_iter: int = 1000,
 ) -> list[Solution]:
-    """Solutions of all ``models``, from aggregates over ``df`` alone."""
-    return Problem(Rows(df, label, features, by, width), models).solve(max_iter)
+    """Solutions of all ``models``, from aggregates over the rows of ``df``, staged once."""
+    with BlockRows(df, label, features, by, width) as rows:
+        return Problem(rows, models).solve(max_iter)
+
+
+def solve_shifted(
+    rows: Rows, strengths: Sequence[float], left_out: Sequence[int | None], max_iter: int = 1000
+) -> dict[tuple[float, int | None], Solution]:
+    """Ridge solutions for every strength and every group left out (None: none), by conjugate
+    gradients for shifted systems.
+
+    The systems of one group differ by a multiple of the identity, so their residuals stay
+    multiples (``part``) of that of the smallest strength, the slowest to settle. The rows are
+    read once per iteration with one direction for each group; a last pass measures all gaps.
+    """
+    strengths = sorted(set(strengths))
+    base = Problem(rows, [Model(strengths[0], left_out=f) for f in left_out])
+    unit = base.inverse[:, -1:]  # strengths are in units of the label's deviation
+    shift = (np.array(strengths) - strengths[0]) * unit
+    lowest = strengths[0] * unit
+    shape = (len(base.models), len(strengths), rows.width)
+    w = np.zeros(shape)
+    residual = -base.products(np.zeros((shape[0], shape[2])), with_label=True)
+    start = np.abs(residual).max(axis=1, keepdims=True)
+    direction, size = residual.copy(), (residual**2).sum(axis=1, keepdims=True)
+    directions = np.repeat(residual[:, None], shape[1], axis=1)
+    part = before = np.ones(shape[:2])
+    last_step, last_ratio = np.ones((shape[0], 1)), np.zeros((shape[0], 1))
+
+    def share(a, b):
+        return np.divide(a, b, out=np.zeros(np.broadcast(a, b).shape), where=b != 0)
+
+    for _ in range(max_iter):
+        if (np.abs(residual) <= TOLERANCE * start).all():
+            break
+        image = base.products(direction) + lowest * direction
+        step = share(size, (direction * image).sum(axis=1, keepdims=True))
+        bend = step * last_ratio * (before - part) + before * last_step * (1 + shift * step)
+        after = share(part * before * last_step, bend)
+        w += (step * share(after, part))[..., None] * directions
+        residual = residual - step * image
+        new = (residual**2).sum(axis=1, keepdims=True)
+        ratio = share(new, size)
+        directions = after[..., None] * residual[:, None] + (ratio * share(after, part) ** 2)[..., None] * directions
+        direction = residual + ratio * direction
+        size, before, part, last_step, last_ratio = new, part, after, step, ratio
+
+    models = [Model(s, left_out=f) for f in left_out for s in strengths]
+    whole = Problem(rows, models, base.scales)
+    flat = w.reshape(-1, rows.width)
+    relative = np.array([m.strength * i for m, i in zip(models, whole.inverse[:, -1])])[:, None]
+    gap = np.abs(whole.products(flat, with_label=True) + relative * flat).max(axis=1)
+    return {(m.strength, m.left_out): s for m, s in zip(models, whole.solutions(flat, gap))}
 
 
 def squared_errors(
@@ -222,6 +390,10 @@ def squared_errors(
     by: Column | None = None,
 ) -> dict[int, tuple[int, np.ndarray]]:
     """Per group: rows, and the sum of squared errors of each (weights, intercept), row by row."""
+    return errors_over(Rows(df, label, features, by, len(lines[0][0])), lines)
+
+
+def errors_over(rows: Rows, lines: Sequence[tuple[np.ndarray, float]]) -> dict[int, tuple[int, np.ndarray]]:
     weights = np.array([w for w, _ in lines], float)
     intercepts = np.array([b for _, b in lines], float)
 
@@ -229,5 +401,5 @@ def squared_errors(
         error = z[:, :-1] @ weights.T + intercepts - z[:, -1:]
         return np.append(len(z), (error * error).sum(axis=0))
 
-    found = Rows(df, label, features, by, weights.shape[1]).totals(squares, len(lines) + 1)
+    found = rows.totals(squares, len(lines) + 1)
     return {g: (int(v[0]), v[1:]) for g, v in found.items()}

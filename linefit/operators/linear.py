@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from linefit.functions import vectors as V
 from linefit.functions.once import computed_once
-from linefit.operators import iterative
+from linefit.operators import descent, iterative
 from linefit.operators import moments as M
 from linefit.operators.summary import vector_sum
-from linefit.sources.staging import kept_table
 
 
 class LinearModel(PredictionModel, MLWritable, MLReadable):
@@ -189,8 +188,8 @@ class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, Defau
     The weights start at zero; update i subtracts stepSize / (n·sqrt(i + 1)) times the
     gradient. By moments all updates follow from one aggregate over the rows, and errors that
     those do not tell well enough are taken from the rows in a second one; by rows, they are
-    written to the shared folder for the time of the fit and every update reads them in one
-    aggregate.
+    written to the shared folder for the time of the fit and a scan serves several updates
+    (:mod:`descent`).
     """
 
     numIterations = Param(
@@ -219,17 +218,14 @@ class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, Defau
                 (n, squares), = iterative.squared_errors(df, lines, label, features).values()
                 *model.history, model.final_rmse = np.sqrt(squares / n).tolist()
             return model
-        narrow = df.select(V.as_array(df, features).alias(features), F.col(label).alias(label))
-        table, release = kept_table(narrow, "training-rows")
-
-        def loss(w):
-            n, squares, g = M.squared_loss(table, w, label, features)
-            return n, np.sqrt(squares / n), g
-
-        try:
-            return self._descend(loss, width)
-        finally:
-            release()
+        with iterative.BlockRows(df, label, features, None, width) as rows:
+            path = descent.path_of(rows, self.getOrDefault("numIterations"), self.getOrDefault("stepSize"))
+            history = descent.history_of(rows, path)
+        finite = int(np.isfinite(history).sum())
+        if finite < self.getOrDefault("numIterations") + 1:
+            raise _diverged(finite - 1)
+        *history, final = history.tolist()
+        return GradientDescentModel(path[-1], history, final)._columns_from(self)
 
     def fit_moments(self, rows: M.Moments) -> GradientDescentModel:
         """The model for rows already summed up, without another pass."""
@@ -248,15 +244,19 @@ class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, Defau
                 if np.isfinite(weights).all():
                     n, error, g = loss(weights)
             if not (np.isfinite(weights).all() and np.isfinite(error)):
-                raise ArithmeticError(
-                    f"gradient descent diverged at update {i}: scale the features into [0, 1] "
-                    "or take a smaller stepSize"
-                )
+                raise _diverged(i)
         if path is not None:
             path.append(weights)
         return GradientDescentModel(weights, history, error)._columns_from(self)
 
 
+def _diverged(update: int) -> ArithmeticError:
+    return ArithmeticError(
+        f"gradient descent diverged at update {update}: scale the features into [0, 1] "
+        "or take a smaller stepSize"
+    )
+
+
 def _loss_of(rows: M.Moments):
     """Count, error and gradient for weights, from sums."""
     return lambda w: (rows.n, rows.rmse(w), rows.gradient(w))

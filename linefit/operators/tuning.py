@@ -193,21 +193,24 @@ class RidgeGridSearch(Predictor, _Solver, DefaultParamsReadable, DefaultParamsWr
         return model._columns_from(self)._set(regParam=reg, maxIter=iterations)
 
     def fit_rows(self, df: DataFrame, by, width: int) -> RidgeGridModel:
-        """The same from the rows: all folds and strengths go through them together."""
+        """The same from the rows, staged once: each fold's strengths, and those of all rows for
+        the winner, follow from one vector that goes through the rows per iteration."""
         label, features = self.getLabelCol(), self.getFeaturesCol()
-        rows = iterative.Rows(df, label, features, by, width)
-        folds = sorted(rows.scales())
-        if len(folds) < 2:
-            raise ValueError("cross-validation needs rows in at least two folds")
         strengths = list(dict.fromkeys(self.getOrDefault("regParams")))
-        models = [iterative.Model(s, left_out=f) for s in strengths for f in folds]
         limit = max(1000, *self.getOrDefault("maxIters"))
-        solved = iterative.Problem(rows, models).solve(limit)
-        lines = {(m.strength, m.left_out): (s.weights, s.intercept) for m, s in zip(models, solved)}
-        table, reg, iterations = self._winner(row_errors(df, lines, by, label, features), folds)
-        (final,) = iterative.Problem(rows, [iterative.Model(reg)]).solve(limit)
-        line = [(final.weights, final.intercept)]
-        parts = iterative.squared_errors(df, line, label, features, by).values()
-        error = float(np.sqrt(sum(q[0] for _, q in parts) / sum(n for n, _ in parts)))
+        with iterative.BlockRows(df, label, features, by, width) as rows:
+            folds = [r["group"] for r in rows.blocks.where("n > 0").select("group").distinct().collect()]
+            if len(folds) < 2:
+                raise ValueError("cross-validation needs rows in at least two folds")
+            solved = iterative.solve_shifted(rows, strengths, [*sorted(folds), None], limit)
+            keys = list(solved)
+            found = iterative.errors_over(rows, [(solved[k].weights, solved[k].intercept) for k in keys])
+        squares = {k: {f: (n, e[i]) for f, (n, e) in found.items()} for i, k in enumerate(keys)}
+        errors = {
+            (s, f): float(np.sqrt(squares[s, f][f][1] / squares[s, f][f][0])) for s, f in keys if f is not None
+        }
+        table, reg, iterations = self._winner(errors, folds)
+        final, parts = solved[reg, None], squares[reg, None].values()
+        error = float(np.sqrt(sum(e for _, e in parts) / sum(n for n, _ in parts)))
         model = RidgeGridModel(final.weights, final.intercept, error, table, final.gap)
         return model._columns_from(self)._set(regParam=reg, maxIter=iterations)

@@ -62,11 +62,11 @@ def remove(spark: SparkSession, path: str) -> None:
         target.getFileSystem(hadoop).delete(target, True)
 
 
-def kept_table(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+def kept_table(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, Callable[[], None]]:
     """As :func:`write_table`, with a function that removes the table again."""
     path = new_path(df.sparkSession, name)
     try:
-        return _written(df, path), lambda: remove(df.sparkSession, path)
+        return _written(df, path, **options), lambda: remove(df.sparkSession, path)
     except BaseException:
         remove(df.sparkSession, path)
         raise
@@ -77,8 +77,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return _written(df, new_path(df.sparkSession, name))
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+def _written(df: DataFrame, path: str, **options: str) -> DataFrame:
+    df.write.options(**options).parquet(path)
     remove_at_exit(df.sparkSession, path)
     fresh = df.sparkSession.read.schema(df.schema).parquet(path)
     return fresh.select(

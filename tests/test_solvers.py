@@ -171,7 +171,7 @@ def test_scoring_at_great_width_builds_its_plan_soon(spark):
 
 def test_staged_rows_are_released(spark, folder):
     shared = spark.conf.get("spark.checkpoint.dir")
-    left = lambda: [p for p in glob.glob(f"{shared}/linefit/training-rows-*")]
+    left = lambda: [p for p in glob.glob(f"{shared}/linefit/row-blocks-*")]
     rows = T.price_rows(spark, folder)
     GradientDescentRegression(numIterations=2, solver="rows").fit(rows)
     assert left() == []
