@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from linefit.functions import vectors as V
 from linefit.functions.once import computed_once
-from linefit.operators import descent, iterative
+from linefit.operators import consensus, descent, iterative, sketch
 from linefit.operators import moments as M
+from linefit.operators.coordinates import sparse_weights
 from linefit.operators.summary import vector_sum
 
 
@@ -119,18 +120,32 @@ class _ModelReader(MLReader):
 class _Solver(Params):
     """How the rows are read: their moments once, or one aggregate per iteration."""
 
+    #: Further ways by rows that an estimator has besides ``rows``.
+    WAYS: tuple[str, ...] = ()
+
     solver = Param(
         Params._dummy(), "solver",
         f"moments, rows, or auto: moments up to {M.WIDE} features, where the matrix of products "
-        "is smaller than the data of a task, and rows beyond; both give the same answer",
+        "is smaller than the data of a task, and by rows beyond; all give the same answer. By rows "
+        "ridge can be sketched, and the elastic net found by consensus",
         TypeConverters.toString,
     )
 
     def by_rows(self, width: int) -> bool:
         chosen = self.getOrDefault("solver")
-        if chosen not in ("auto", "moments", "rows"):
-            raise ValueError(f"solver is auto, moments or rows, not {chosen!r}")
-        return chosen == "rows" or chosen == "auto" and width > M.WIDE
+        known = ("auto", "moments", "rows", *self.WAYS)
+        if chosen not in known:
+            raise ValueError(f"solver is one of {', '.join(known)}, not {chosen!r}")
+        return chosen not in ("auto", "moments") or chosen == "auto" and width > M.WIDE
+
+    def way(self, width: int) -> str:
+        """How rows are read where they are: as asked for, or as suits the width."""
+        chosen = self.getOrDefault("solver")
+        if chosen != "auto":
+            return chosen
+        if "sketched" in self.WAYS:
+            return "sketched" if width <= sketch.WIDEST else "rows"
+        return self.WAYS[0] if self.WAYS else "rows"
 
 
 # --- gradient descent ---------------------------------------------------------------------
@@ -265,7 +280,6 @@ def _loss_of(rows: M.Moments):
 # --- ridge and elastic net ----------------------------------------------------------------
 
 SWEEPS = 10_000
-SWEEP_TOLERANCE = 1e-12
 
 
 class RidgePath:
@@ -310,69 +324,13 @@ class RidgePath:
         return self.basis @ along
 
     def _sparse(self, strength: float, l1_share: float, sweeps: int) -> np.ndarray:
-        """Coordinate descent: each weight in turn takes its best value given the others.
-
-        Sweeps run over the weights in use, with one over all of them in between. As soon as
-        their signs suggest it, the linear system of the used weights is solved at once, which
-        ends the search if its solution is optimal.
-        """
         matrix, target = self.correlation[:-1, :-1], self.correlation[:-1, -1]
-        absolute, square = strength * l1_share, strength * (1 - l1_share)
-        diagonal, usable = np.diag(matrix), np.flatnonzero(self.inverse[:-1])
-        w, residual = np.zeros(len(target)), target.copy()
-
-        def violation(w, residual) -> float:
-            slope = residual - square * w
-            used = w != 0
-            off = np.where(used, np.abs(slope - absolute * np.sign(w)), np.abs(slope) - absolute)
-            return float(off[usable].max(initial=0.0))
-
-        def sweep(over) -> float:
-            change = 0.0
-            for j in over:
-                pull = residual[j] + diagonal[j] * w[j]
-                new = np.sign(pull) * max(abs(pull) - absolute, 0.0) / (diagonal[j] + square)
-                step = new - w[j]
-                if step:
-                    w[j] = new
-                    residual[:] -= step * matrix[j]
-                    change = max(change, abs(step))
-            return change
-
-        done = 0
-        while done < sweeps:
-            change = sweep(usable)
-            done += 1
-            used = np.flatnonzero(w)
-            while len(used) and done < sweeps and change > 1e-3 * np.abs(w).max():
-                change = sweep(used)
-                done += 1
-            exact = self._on_used(matrix, target, np.sign(w), absolute, square)
-            if exact is not None:
-                left = target - matrix @ exact
-                if violation(exact, left) <= SWEEP_TOLERANCE * max(1.0, absolute):
-                    w, residual = exact, left
-                    break
-            if change <= SWEEP_TOLERANCE * max(np.abs(w).max(initial=0.0), 1e-300):
-                break
-        self.gap = max(violation(w, target - matrix @ w), 0.0)
+        usable = np.flatnonzero(self.inverse[:-1])
+        w, self.gap = sparse_weights(
+            matrix, target, usable, strength * l1_share, strength * (1 - l1_share), sweeps
+        )
         return w
 
-    @staticmethod
-    def _on_used(matrix, target, signs, absolute: float, square: float) -> np.ndarray | None:
-        """The weights that are optimal among those with these signs, if they have them."""
-        used = np.flatnonzero(signs)
-        system = matrix[np.ix_(used, used)] + square * np.eye(len(used))
-        try:
-            found = np.linalg.solve(system, target[used] - absolute * signs[used])
-        except np.linalg.LinAlgError:
-            return None
-        if not np.isfinite(found).all() or (np.sign(found) != signs[used]).any():
-            return None
-        out = np.zeros(len(target))
-        out[used] = found
-        return out
-
 
 class _RidgeParams(Params):
     regParam = Param(Params._dummy(), "regParam", "ridge strength", TypeConverters.toFloat)
@@ -417,9 +375,12 @@ class RidgeRegression(
 ):
     """Ridge regression (ordinary least squares at strength 0) from one aggregate.
 
-    By rows, one aggregate per iteration: ``maxIter`` of them at most.
+    By rows, one aggregate per iteration: ``maxIter`` of them at most. ``sketched``, the default
+    up to a width of ``sketch.WIDEST``, takes about 20 however ill-conditioned the features are.
     """
 
+    WAYS = ("sketched",)
+
     @keyword_only
     def __init__(
         self, *, labelCol="label", featuresCol="features", predictionCol="prediction",
@@ -433,13 +394,15 @@ class RidgeRegression(
         label, features = self.getLabelCol(), self.getFeaturesCol()
         width = M.feature_width(df, features)
         if self.by_rows(width):
-            model = iterative.Model(self.getRegParam(), self._l1_share())
-            (found,) = iterative.solve(df, [model], label, features, width, None, self.getMaxIter())
-            weights, intercept, gap, rows = found.weights, found.intercept, found.gap, None
-        else:
-            rows = M.collect_moments(df, label, features, width=width)[None]
-            weights, intercept, gap = self._solved(rows)
-        if rows is not None and rows.is_certain(weights):
+            with iterative.BlockRows(df, label, features, None, width) as blocks:
+                found = self._by_rows(blocks, self.way(width))
+                line = [(found.weights, found.intercept)]
+                (n, squares), = iterative.errors_over(blocks, line).values()
+            model = RidgeModel(*line[0], float(np.sqrt(squares[0] / n)), found.gap)
+            return model._columns_from(self)
+        rows = M.collect_moments(df, label, features, width=width)[None]
+        weights, intercept, gap = self._solved(rows)
+        if rows.is_certain(weights):
             error = rows.rmse(weights, intercept)
         else:
             line = [(weights, intercept)]
@@ -447,6 +410,12 @@ class RidgeRegression(
             error = float(np.sqrt(squares[0] / n))
         return RidgeModel(weights, intercept, error, gap)._columns_from(self)
 
+    def _by_rows(self, rows: iterative.BlockRows, way: str) -> iterative.Solution:
+        if way == "sketched":
+            return sketch.solve(rows, self.getRegParam(), self.getMaxIter())
+        model = iterative.Model(self.getRegParam(), self._l1_share())
+        return iterative.Problem(rows, [model]).solve(self.getMaxIter())[0]
+
     def fit_moments(self, rows: M.Moments) -> RidgeModel:
         """The model for rows already summed up, without another pass.
 
@@ -470,9 +439,12 @@ class ElasticNetRegression(RidgeRegression):
 
     ``maxIter`` limits the sweeps over the weights (by rows, the proximal steps); a model that
     it has stopped short says so by its ``gap``. MLlib's steps are other ones; they lead to the
-    same weights where their limit lets them.
+    same weights where their limit lets them. ``consensus``, the default beyond ``moments``, reads
+    factors of the rows in place of the rows.
     """
 
+    WAYS = ("consensus",)
+
     elasticNetParam = Param(
         Params._dummy(), "elasticNetParam", "share of the absolute penalty",
         TypeConverters.toFloat,
@@ -490,3 +462,8 @@ class ElasticNetRegression(RidgeRegression):
 
     def _l1_share(self) -> float:
         return self.getOrDefault("elasticNetParam")
+
+    def _by_rows(self, rows: iterative.BlockRows, way: str) -> iterative.Solution:
+        if way == "consensus":
+            return consensus.solve(rows, self.getRegParam(), self._l1_share(), self.getMaxIter())
+        return super()._by_rows(rows, way)

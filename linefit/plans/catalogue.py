@@ -569,6 +569,21 @@ def ridge_wide_rows_weights(spark, folder):
     return model.weights_table(spark).select("idx", rounded("value").alias("value"))
 
 
+@query
+def ridge_shifted_cv_table(spark, folder):
+    """Nine products of features: the strengths of a fold from one Krylov space."""
+    model = _search("products", solver="rows").fit(_products(spark, folder))
+    return model.mean_table(spark).withColumn("rmse", rounded("rmse"))
+
+
+@query
+def ridge_sketched_weights(spark, folder):
+    """The 2,144 products of the numbers of an embedding, by a sketch of the rows."""
+    rows = S.DegreeTwo(inputCol="features", outputCol="products").transform(T.embedding_rows(spark, folder))
+    model = RidgeRegression(regParam=0.1, featuresCol="products", solver="sketched").fit(rows)
+    return model.weights_table(spark).select("idx", rounded("value").alias("value"))
+
+
 @query
 def ridge_cv_best(spark, folder):
     model = _search().fit(T.charge_rows(spark, folder))
@@ -627,6 +642,14 @@ def elastic_net_rows_weights(spark, folder):
     return model.weights_table(spark).withColumn("value", rounded("value"))
 
 
+@query
+def elastic_net_consensus_weights(spark, folder):
+    """From factors of the tasks' rows, which rounds read in place of the rows."""
+    rows = T.charge_rows(spark, folder)
+    model, _ = regression.elastic_net(rows, T.LINE_KEYS, solver="consensus")
+    return model.weights_table(spark).withColumn("value", rounded("value"))
+
+
 @query
 def elastic_net_predictions(spark, folder):
     rows = T.charge_rows(spark, folder)

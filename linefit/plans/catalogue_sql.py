@@ -266,6 +266,41 @@ SELECT i::INT AS idx, {rounded('w[i + 1] * dy / d[i + 1]', 'value')}
 FROM (SELECT * FROM steps ORDER BY step DESC LIMIT 1), means, label, range({width}) AS r(i)"""
 
 
+def dual_ridge_weights(strength: float) -> str:
+    """Ridge weights over all products of two numbers of an embedding, by way of the rows' inner
+    products: conjugate gradients for one number per row, then the sum of the rows times theirs."""
+    product = f"list_transform(k, lambda line, i: {dot('line', 'p')} + lambda_ * p[i])"
+    return f"""WITH RECURSIVE {EMBEDDING}, products AS (
+  SELECT vec_id, y, flatten(list_transform(range(1, 65), lambda j:
+           [x[j]] || list_transform(range(1, j + 1), lambda i: x[i] * x[j]))) AS x FROM data),
+cells AS (SELECT vec_id, unnest(range(len(x))) AS i, unnest(x) AS v FROM products),
+means AS (SELECT list(m ORDER BY i) AS m, list(d ORDER BY i) AS d FROM (
+  SELECT i, avg(v) AS m, stddev_pop(v) AS d FROM cells GROUP BY i)),
+label AS (SELECT avg(y) AS my, stddev_pop(y) AS dy, count(*)::DOUBLE AS n FROM data),
+z AS MATERIALIZED (
+  SELECT vec_id, (y - my) / dy AS t, list_transform(x, lambda v, i: (v - m[i]) / d[i]) AS z
+  FROM products, means, label),
+inner_products AS (
+  SELECT a.vec_id AS i, list({dot('a.z', 'b.z')} / n ORDER BY b.vec_id) AS line
+  FROM z a, z b, label GROUP BY a.vec_id),
+system AS MATERIALIZED (
+  SELECT (SELECT list(line ORDER BY i) FROM inner_products) AS k,
+         (SELECT list(t ORDER BY vec_id) FROM z) AS b, (SELECT {strength} / dy FROM label) AS lambda_),
+steps AS (
+  SELECT 0 AS step, list_transform(b, lambda v: 0.0::DOUBLE) AS u, b AS r, b AS p FROM system
+  UNION ALL
+  SELECT step + 1, u2, r2, list_transform(r2, lambda v, i: v + {dot('r2', 'r2')} / {dot('r', 'r')} * p[i])
+  FROM (SELECT *, list_transform(r, lambda v, i: v - a * q[i]) AS r2,
+               list_transform(u, lambda v, i: v + a * p[i]) AS u2
+        FROM (SELECT *, {dot('r', 'r')} / {dot('p', 'q')} AS a
+              FROM (SELECT step, u, r, p, {product} AS q FROM steps, system WHERE step < 400)))
+  WHERE {dot('r', 'r')} > 1e-24),
+solved AS (SELECT unnest((SELECT list(vec_id ORDER BY vec_id) FROM z)) AS vec_id, unnest(u) AS u
+  FROM (SELECT u FROM steps ORDER BY step DESC LIMIT 1))
+SELECT c.i::INT AS idx, {rounded('sum((v - m[c.i + 1]) / d[c.i + 1] * u) / any_value(n) * any_value(dy) / any_value(d[c.i + 1])', 'value')}
+FROM cells c JOIN solved USING (vec_id), means, label GROUP BY c.i"""
+
+
 RESIDUAL_RMSE = f"sqrt(avg((y - intercept - {dot('w', 'x')}) ** 2))"
 GRID = "(VALUES " + ", ".join(f"({i}, {v})" for i, v in enumerate(K.MAX_ITERS)) + ")"
 STRENGTH_ORDER = "list_position([" + ", ".join(map(str, K.REG_PARAMS)) + "]::DOUBLE[], reg)"
@@ -557,6 +592,10 @@ FROM fold_errors, {GRID} g(k, it)""",
         "ridge_rows_cv_table": f"""WITH RECURSIVE {CHARGE}, {cross_validation('data', 3)}
 SELECT reg AS "regParam", it::INT AS "maxIter", fold, {rounded('rmse', 'rmse')}
 FROM fold_errors, {GRID} g(k, it)""",
+        "ridge_shifted_cv_table": f"""WITH RECURSIVE {products}, {cross_validation('products', 9)}
+SELECT reg AS "regParam", it::INT AS "maxIter", {rounded('rmse', 'rmse')}
+FROM mean_errors, {GRID} g(k, it)""",
+        "ridge_sketched_weights": dual_ridge_weights(0.1),
         "ridge_wide_moments_weights": wide_ridge,
         "ridge_wide_rows_weights": wide_ridge,
         "ridge_near_perfect_rmse": """
@@ -605,6 +644,8 @@ data AS (
         "elastic_net_errors": errors(6),
         "elastic_net_errors_mllib": errors(4),
         "elastic_net_rows_weights": f"""{charge}
+SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
+        "elastic_net_consensus_weights": f"""{charge}
 SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
         "elastic_net_weights": f"""{charge}
 SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')} FROM elastic, range(3) AS r(i)""",
