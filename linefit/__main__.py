@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from linefit.plans.programs import PROGRAMS, SPLITTING
+from linefit.plans.programs import PROGRAMS, RECORDS, SPLITTING
 
 SHOWN = 100
 
@@ -24,10 +24,17 @@ def main() -> None:
         "--per-row", action="store_true",
         help="split by a draw for each row, not by the line's text (which keeps equal lines together)",
     )
+    parser.add_argument(
+        "--multiline", action="store_true", help="quoted fields of the file may hold line breaks"
+    )
     arguments = parser.parse_args()
     if arguments.per_row and arguments.program not in SPLITTING:
         parser.error(f"--per-row is for {', '.join(SPLITTING)}")
+    if arguments.multiline and arguments.program not in RECORDS:
+        parser.error(f"--multiline is for {', '.join(RECORDS)}")
     more = {"keys": None} if arguments.per_row else {}
+    if arguments.multiline:
+        more["reader"] = RECORDS[arguments.program]
     spark = SparkSession.builder.appName(f"linefit {arguments.program}").getOrCreate()
     for name, table in PROGRAMS[arguments.program](spark, arguments.path, **more).items():
         if arguments.output:

@@ -7,15 +7,17 @@ border to MLlib. A stage that knows the width of its output says so in the colum
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark import keyword_only
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefit.functions import fields as X
@@ -180,21 +182,54 @@ class MinimumLabelShift(
 class ColumnFunction(_Stage):
     """Any function from column to column as a stage.
 
-    The function builds an expression, so it stays inside generated code. It lives in the
-    program, not in the saved stage: saving is refused.
+    The function builds an expression, so it stays inside generated code. A saved stage holds that
+    expression as SQL text over the input column; loading parses it again, whatever the input
+    column is called by then. ``inputType``, which a transformed table sets, is the type the text
+    is written for. A function whose expression has no SQL text that gives it back, such as one
+    around Python code or with a lambda of its own, cannot be saved.
     """
 
+    INPUT = "column_function_input"  # stands for the input column in the text
+    expression = _param("expression", "SQL text of the function over its input", TypeConverters.toString)
+    inputType = _param("inputType", "type of the input column", TypeConverters.toString)
+    _defaults = {"inputType": "double"}
+
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, function: Callable = None):
+    def __init__(self, *, inputCol=None, outputCol=None, function: Callable = None, inputType="double"):
         kwargs = dict(self._input_kwargs)
-        self.function = kwargs.pop("function")
+        self.function = kwargs.pop("function", None)
         super().__init__(**kwargs)
 
     def _expression(self, df):
-        return self.function(F.col(self.getInputCol()))
+        name = self.getInputCol()
+        if self.function is None:
+            if not self.isSet("expression"):
+                raise ValueError("a ColumnFunction needs a function")
+            text = self.getOrDefault("expression")
+            return F.expr(re.sub(rf"\b{self.INPUT}\b", lambda _: f"`{name}`", text))
+        self._set(inputType=df.schema[name].dataType.simpleString())
+        return self.function(F.col(name))
+
+    def sql_text(self) -> str:
+        """The function's expression as SQL over ``INPUT``, checked by parsing it again."""
+        if self.function is None:
+            return self.getOrDefault("expression")
+        spark = SparkSession.active()
+        nothing = spark.createDataFrame([], f"{self.INPUT} {self.getOrDefault('inputType')}")
+        wanted = nothing.select(self.function(F.col(self.INPUT)).alias("out"))
+        plan = wanted._jdf.queryExecution().analyzed()
+        text = plan.projectList().head().child().sql()
+        try:
+            same = nothing.select(F.expr(text).alias("out")).sameSemantics(wanted)
+        except AnalysisException:
+            same = False
+        if not same:
+            raise ValueError(f"the function of {self.uid} has no SQL text to be saved as: {text}")
+        return text
 
     def write(self):
-        raise NotImplementedError("a ColumnFunction holds code and cannot be saved")
+        self._set(expression=self.sql_text())
+        return super().write()
 
 
 class DegreeTwo(_Stage):

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,26 +55,31 @@ def vector_sum(
 
     Unequal widths within a group, or another width than the known one (given, or in the
     column's metadata), are an error; null vectors are left out, and a group of nothing else
-    has no rows. Short vectors of known width are summed position by position and only the
-    sums become rows. Otherwise the elements become rows and are summed per position; the
-    partial sums of a task number (groups × width) whatever the number of vectors.
+    has no rows. A null element adds nothing. Short vectors of known width are summed position by
+    position. Longer ones stay whole: a task adds each group's vectors up in one array, however
+    many there are, and only the sums become rows.
     """
     width = width or V.known_width(df, vector)
     v = V.checked(F.col(vector), width)
     if width is not None and width <= V.WRITTEN_OUT:
-        sums = [F.sum(V.element(v, j)) for j in range(width)]
+        sums = [F.coalesce(F.sum(V.element(v, j)), F.lit(0.0)) for j in range(width)]
         summed = df.groupBy(*by).agg(F.count(v).alias("_rows"), F.array(*sums).alias("_sums"))
         rows = summed.filter(F.col("_rows") > 0)
         return rows.select(*by, F.posexplode("_sums").alias("idx", "value"))
-    size = F.col("_size")
-    unequal = F.raise_error(
-        F.concat(F.lit("vector widths differ: "), F.min(size), F.lit(" and "), F.max(size))
-    )
-    return (
-        df.select(*by, F.size(vector).alias("_size"), F.posexplode(v).alias("idx", "element"))
-        .groupBy(*by, "idx")
-        .agg(F.when(F.min(size) == F.max(size), F.sum("element")).otherwise(unequal).alias("value"))
+    numbers = F.transform(v.cast("array<double>"), lambda x: F.coalesce(x, F.lit(0.0)))
+    wide = df.where(F.col(vector).isNotNull()).select(
+        *by, F.size(vector).alias("_size"), array_to_vector(numbers).alias("_vector")
     )
+    # widths are kept apart first, so that a group of several can be named in the error
+    summed = wide.groupBy(*by, "_size").agg(vector_to_array(Summarizer.sum(F.col("_vector"))).alias("_sums"))
+    if width is None:
+        size = F.col("_size")
+        unequal = F.raise_error(
+            F.concat(F.lit("vector widths differ: "), F.min(size), F.lit(" and "), F.max(size))
+        )
+        one = F.when(F.min(size) == F.max(size), F.max_by("_sums", size)).otherwise(unequal)
+        summed = summed.groupBy(*by).agg(one.alias("_sums"))
+    return summed.select(*by, F.posexplode("_sums").alias("idx", "value"))
 
 
 def widths(df: DataFrame, vector: str) -> DataFrame:

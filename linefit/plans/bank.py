@@ -20,12 +20,17 @@ POSITIONS = {"age": 0, "job": 1, "marital": 2, "education": 3, "balance": 5}
 NUMBERS = ("age", "balance")
 
 
-def read_bank(spark: SparkSession, path: str) -> DataFrame:
-    """Typed customers; a delimiter inside quotes belongs to its field.
+def read_bank(spark: SparkSession, path: str, reader=delimited) -> DataFrame:
+    """Typed customers; a delimiter inside quotes belongs to its field, and so does a line break
+    if ``reader`` is :mod:`linefit.sources.multiline`.
 
     The file may have more columns than are used: they are addressed by position.
     """
-    records = delimited.read_delimited(spark, path, header=True, separator=";")
+    return customers(reader.read_delimited(spark, path, header=True, separator=";"))
+
+
+def customers(records: DataFrame) -> DataFrame:
+    """Records of texts as typed customers."""
     names = records.columns
     return records.select(
         *[
@@ -35,12 +40,12 @@ def read_bank(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def rejected_records(spark: SparkSession, path: str) -> DataFrame:
+def rejected_records(spark: SparkSession, path: str, reader=delimited) -> DataFrame:
     """``(reason, count)``: malformed records, and those whose age or balance is no integer.
 
     :func:`read_bank` drops the former and keeps the latter with a null.
     """
-    checked = delimited.checked_records(spark, path, header=True, separator=";")
+    checked = reader.checked_records(spark, path, header=True, separator=";")
     names = checked.columns
     bad = reduce(or_, [X.to_integer(F.col(names[POSITIONS[n]])).isNull() for n in NUMBERS])
     reason = F.when(F.col(delimited.CORRUPT).isNotNull(), text.WIDTH).when(bad, text.BAD_NUMBER)

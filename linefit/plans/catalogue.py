@@ -32,7 +32,7 @@ from linefit.operators.tuning import RidgeGridSearch, parameter_grid
 from linefit.plans import bank, regression, songs
 from linefit.plans import fixed_values as K
 from linefit.plans import testviews as T
-from linefit.sources import delimited, memory, staging, text
+from linefit.sources import delimited, memory, multiline, splits, staging, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,6 +198,15 @@ def delimited_quoted_bank(spark, folder):
     return bank.read_bank(spark, staging.write_lines(lines, "bank-csv", T.BANK_HEADER))
 
 
+@query
+def quoted_multiline_records(spark, folder):
+    """Jobs with line breaks and doubled quotes inside their field."""
+    lines = T.bank_lines(spark, folder, delimiter_in_job=True, between='\n"";\n\n')
+    path = staging.write_lines(lines, "bank-records")
+    names = ["age", "job", "marital", "education", "default", "balance"]
+    return bank.customers(multiline.read_delimited(spark, path, names, header=False, separator=";"))
+
+
 @query
 def bank_lines_by_position(spark, folder):
     path = staging.write_lines(T.bank_lines(spark, folder), "bank-text", T.BANK_HEADER)
@@ -263,6 +272,16 @@ def label_shift_min_lazy(spark, folder):
     return summary.count_per_key(shifted, "label")
 
 
+@query
+def row_split_counts(spark, folder):
+    """Every row drawn by itself: its key is its place in the file."""
+    rows = splits.addressed_rows(T.table(spark, folder, "lineitem"))
+    parted = with_part(rows, [0.7, 0.2, 0.1], [splits.FILE, splits.OFFSET], K.TUNING_SEED)
+    return parted.groupBy("part").agg(
+        F.count("*").alias("count"), F.sum("l_partkey").alias("part_keys")
+    )
+
+
 @query
 def label_shift_const(spark, folder):
     stages = [

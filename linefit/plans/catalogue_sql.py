@@ -444,6 +444,7 @@ FROM numbered WHERE artist IN ('1-URGENT', '5-LOW') OR y > 0 AND tempo <= 1 GROU
             "WHERE o_orderpriority IN ('1-URGENT', '5-LOW') GROUP BY 1"
         ),
         "delimited_quoted_bank": bank_rows.format("job || ';' || marital"),
+        "quoted_multiline_records": bank_rows.format("job || chr(10) || '\";' || chr(10) || chr(10) || marital"),
         "bank_lines_by_position": bank_rows.format("job"),
         "wide_select_drop_pack": (
             f"WITH {WIDE}, known AS (SELECT [y] || x AS v FROM wide WHERE y > 0) "
@@ -502,12 +503,16 @@ FROM (SELECT label, unnest(range(len(embedding)))::INT AS idx,
 
 
 def _errors() -> dict[str, str]:
-    h = hashed(K.TUNING_SEED)
+    h, at = hashed(K.TUNING_SEED), hashed(K.TUNING_SEED, ("file", "place"))
     residual = f"({dot('x', '[0.5, 0.25, 0.125]::DOUBLE[]')} - y)"
     return {
         "hash_split_counts": f"""
 SELECT CASE WHEN {h} < {bound(0.7)} THEN 0 WHEN {h} < {bound(0.7 + 0.2)} THEN 1 ELSE 2 END::INT
   AS part, count(*) AS count, sum(l_partkey)::BIGINT AS part_keys FROM lineitem GROUP BY 1""",
+        "row_split_counts": f"""
+WITH placed AS (SELECT l_partkey, 'lineitem.parquet' AS file, row_number() OVER () - 1 AS place FROM lineitem)
+SELECT CASE WHEN {at} < {bound(0.7)} THEN 0 WHEN {at} < {bound(0.7 + 0.2)} THEN 1 ELSE 2 END::INT
+  AS part, count(*) AS count, sum(l_partkey)::BIGINT AS part_keys FROM placed GROUP BY 1""",
         "squared_error_total": (
             f"WITH {PRICE} SELECT {rounded(f'sum({residual} ** 2)', 'squared_error_sum', 4)} "
             "FROM data"

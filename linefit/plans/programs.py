@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from linefit.operators import stages as S
 from linefit.plans import bank, regression, songs
 from linefit.plans import fixed_values as K
-from linefit.sources import delimited, text
+from linefit.sources import delimited, multiline, splits, text
 from linefit.sources.memory import from_rows
 from linefit.sources.staging import write_table
 
@@ -27,11 +27,13 @@ class _Lines:
     """The good lines of a file, and the number of rejected ones by reason.
 
     The rejects are counted on the way by the first full pass over the lines, whatever it is.
+    Without ``keys`` a line's key is its address, its file and the byte at which it starts.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keys: Keys = BY_LINE):
         self.spark, self.seen = spark, Observation()
-        lines = text.read_lines(spark, path)
+        self.keys = [splits.FILE, splits.OFFSET] if keys is None else list(keys)
+        lines = splits.addressed_lines(spark, path) if keys is None else text.read_lines(spark, path)
         checked = text.with_reason(lines, songs.NUMERIC, K.LINE_WIDTH, finite=True)
         reason = F.col(text.REASON)
         counts = [F.count_if(reason == r).alias(r) for r in text.REASONS]
@@ -64,19 +66,19 @@ def song_features(spark: SparkSession, path: str) -> Tables:
 
 
 def elastic_net(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
-    source = _Lines(spark, path)
+    source = _Lines(spark, path, keys)
     rows = source.rows()
-    model, errors = regression.elastic_net(rows, keys)
-    test = regression.test_rows(rows, K.SPLIT_7_3, keys, 0)
+    model, errors = regression.elastic_net(rows, source.keys)
+    test = regression.test_rows(rows, K.SPLIT_7_3, source.keys, 0)
     return {
         "errors": errors, "scored": _preview(model.transform(test), *SCORED),
         "rejected": source.rejected(),
     }
 
 
-def _tuned(source: _Lines, rows: DataFrame, search, keys: Keys) -> Tables:
-    model, errors = search(rows, keys)
-    test = regression.test_rows(rows, K.SPLIT_9_1, keys, K.TUNING_SEED)
+def _tuned(source: _Lines, rows: DataFrame, search) -> Tables:
+    model, errors = search(rows, source.keys)
+    test = regression.test_rows(rows, K.SPLIT_9_1, source.keys, K.TUNING_SEED)
     scored = model.transform(test).select(
         "prediction", "label", F.col(model.getFeaturesCol()).alias("features")
     )
@@ -87,24 +89,24 @@ def _tuned(source: _Lines, rows: DataFrame, search, keys: Keys) -> Tables:
 
 
 def ridge_search(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
-    source = _Lines(spark, path)
-    return _tuned(source, source.rows(), regression.tuned_ridge, keys)
+    source = _Lines(spark, path, keys)
+    return _tuned(source, source.rows(), regression.tuned_ridge)
 
 
 def degree_two_search(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
-    source = _Lines(spark, path)
+    source = _Lines(spark, path, keys)
 
     def search(rows, keys):
         return regression.tuned_ridge(rows, keys, features="products")
 
-    return _tuned(source, regression.with_products(source.rows()), search, keys)
+    return _tuned(source, regression.with_products(source.rows()), search)
 
 
 def descent(spark: SparkSession, path: str, keys: Keys = BY_LINE) -> Tables:
-    source = _Lines(spark, path)
+    source = _Lines(spark, path, keys)
     rows = source.rows()
-    model, errors = regression.gradient_descent(rows, keys)
-    test = regression.test_rows(rows, K.SPLIT_9_1, keys, 0)
+    model, errors = regression.gradient_descent(rows, source.keys)
+    test = regression.test_rows(rows, K.SPLIT_9_1, source.keys, 0)
     return {
         "history": model.history_table(spark), "weights": model.weights_table(spark),
         "errors": errors, "scored": _preview(model.transform(test), *SCORED),
@@ -122,10 +124,11 @@ def wide_csv(spark: SparkSession, path: str) -> Tables:
     }
 
 
-def bank_ages(spark: SparkSession, path: str) -> Tables:
+def bank_ages(spark: SparkSession, path: str, reader=delimited) -> Tables:
+    """``reader`` is :mod:`multiline` for files whose quoted fields hold line breaks."""
     return {
-        "ages": bank.customers_per_age(bank.read_bank(spark, path)),
-        "rejected": bank.rejected_records(spark, path),
+        "ages": bank.customers_per_age(bank.read_bank(spark, path, reader)),
+        "rejected": bank.rejected_records(spark, path, reader),
     }
 
 
@@ -139,5 +142,7 @@ PROGRAMS: dict[str, Program] = {
     "wide-csv": wide_csv,
     "bank-ages": bank_ages,
 }
+#: Programs over delimited records, which :mod:`multiline` can read.
+RECORDS = {"bank-ages": multiline}
 #: Programs that split the rows and take ``keys``: None draws every row by itself.
 SPLITTING = ("elastic-net", "ridge-search", "degree-two-search", "descent")

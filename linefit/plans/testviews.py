@@ -131,10 +131,10 @@ def embedding_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bank_lines(
-    spark: SparkSession, folder: str, delimiter_in_job: bool = False, keep=()
+    spark: SparkSession, folder: str, delimiter_in_job: bool = False, keep=(), between: str = ";",
 ) -> DataFrame:
-    """Parts as quoted lines between semicolons."""
-    job = F.concat_ws(";", "p_type", "p_brand") if delimiter_in_job else F.col("p_type")
+    """Parts as quoted lines between semicolons; the job may hold the text ``between``."""
+    job = F.concat_ws(between, "p_type", "p_brand") if delimiter_in_job else F.col("p_type")
 
     def quoted(c: Column) -> Column:
         return F.concat(F.lit('"'), c, F.lit('"'))

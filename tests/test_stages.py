@@ -90,13 +90,11 @@ def test_stages_survive_saving(spark, folder, tmp_path):
     assert len(Pipeline.load(str(tmp_path / "p")).getStages()) == 6
 
 
-def test_function_stage_is_an_expression_and_cannot_be_saved(spark, tmp_path):
+def test_function_stage_is_an_expression(spark):
     stage = S.ColumnFunction(inputCol="id", outputCol="sq", function=lambda c: c * c)
     df = stage.transform(spark.range(4))
     assert [r.sq for r in df.collect()] == [0, 1, 4, 9]
     assert "UDF" not in plan_of(df)
-    with pytest.raises(NotImplementedError):
-        stage.write()
 
 
 def test_stage_of():
@@ -104,3 +102,37 @@ def test_stage_of():
     assert isinstance(S.stage_of(model, S.FirstElement), S.FirstElement)
     with pytest.raises(LookupError):
         S.stage_of(model, S.DegreeTwo)
+
+
+def test_functions_are_saved_as_their_expression(spark, folder, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import functions as F
+
+    stages = [
+        S.ColumnFunction(inputCol="vector", outputCol="number", function=lambda v: F.get(v, F.lit(0))),
+        S.LabelShift(inputCol="number", outputCol="label", offset=1922.0),
+        S.ColumnFunction(inputCol="label", outputCol="decade", function=lambda x: F.floor(x / 10)),
+        S.ColumnFunction(inputCol="label", outputCol="name", function=lambda x: F.concat(F.lit("it's `"), x.cast("string"))),
+    ]
+    table = spark.createDataFrame([([1999.0],), ([2003.5],), (None,)], "vector array<double>")
+    model = PipelineModel(stages)
+    wanted = model.transform(table).collect()
+    model.write().overwrite().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    assert loaded.transform(table).collect() == wanted
+    renamed = loaded.stages[0].copy().setInputCol("other name")
+    rows = renamed.transform(table.withColumnRenamed("vector", "other name")).select("number").collect()
+    assert [r[0] for r in rows] == [1999.0, 2003.5, None]
+    loaded.write().overwrite().save(str(tmp_path / "again"))
+    assert PipelineModel.load(str(tmp_path / "again")).transform(table).collect() == wanted
+    assert "Python" not in plan_of(loaded.transform(table))
+
+
+def test_functions_without_sql_text_are_not_saved(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    plus = F.udf(lambda x: x + 1, "double")
+    with pytest.raises(ValueError, match="no SQL text"):
+        S.ColumnFunction(inputCol="a", outputCol="b", function=plus).save(str(tmp_path / "udf"))
+    with pytest.raises(ValueError, match="needs a function"):
+        S.ColumnFunction(inputCol="id", outputCol="b").transform(spark.range(1))
