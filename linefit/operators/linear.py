@@ -226,13 +226,7 @@ class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, Defau
         width = M.feature_width(df, features)
         if not self.by_rows(width):
             rows = M.collect_moments(df, label, features, width=width)[None]
-            path: list = []
-            model = self._descend(_loss_of(rows), width, path)
-            if not all(rows.is_certain(w) for w in path):
-                lines = [(w, 0.0) for w in path]
-                (n, squares), = iterative.squared_errors(df, lines, label, features).values()
-                *model.history, model.final_rmse = np.sqrt(squares / n).tolist()
-            return model
+            return self.fit_moments(rows, df)
         with iterative.BlockRows(df, label, features, None, width) as rows:
             path = descent.path_of(rows, self.getOrDefault("numIterations"), self.getOrDefault("stepSize"))
             history = descent.history_of(rows, path)
@@ -242,9 +236,20 @@ class GradientDescentRegression(Predictor, _Solver, DefaultParamsReadable, Defau
         *history, final = history.tolist()
         return GradientDescentModel(path[-1], history, final)._columns_from(self)
 
-    def fit_moments(self, rows: M.Moments) -> GradientDescentModel:
-        """The model for rows already summed up, without another pass."""
-        return self._descend(_loss_of(rows), rows.width)
+    def fit_moments(self, rows: M.Moments, df: DataFrame | None = None) -> GradientDescentModel:
+        """The model for rows already summed up.
+
+        Where the sums do not tell an error well enough (a near-perfect fit), all errors are taken
+        from ``df``, the rows themselves, in one pass; without it they are the sums' best.
+        """
+        path: list = []
+        model = self._descend(_loss_of(rows), rows.width, path)
+        if df is not None and not all(rows.is_certain(w) for w in path):
+            lines = [(w, 0.0) for w in path]
+            found = iterative.squared_errors(df, lines, self.getLabelCol(), self.getFeaturesCol())
+            (n, squares), = found.values()
+            *model.history, model.final_rmse = np.sqrt(squares / n).tolist()
+        return model
 
     def _descend(self, loss, width: int, path: list | None = None) -> GradientDescentModel:
         """``path`` receives the weights before each update and after the last."""

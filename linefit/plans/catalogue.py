@@ -443,6 +443,14 @@ def gd_rows_errors(spark, folder):
     return model.history_table(spark).select("iter", rounded("rmse").alias("rmse"))
 
 
+@query
+def gd_perfect_history(spark, folder):
+    """Errors of the program's training part, which come down to the last digits of the sums."""
+    model, _ = regression.gradient_descent(T.perfect_rows(spark, folder), T.LINE_KEYS)
+    scaled = model.history_table(spark).withColumn("rmse", F.col("rmse") * 1e6)
+    return scaled.select("iter", rounded("rmse", 4).alias("rmse"))
+
+
 @query
 def pipeline_copy_score(spark, folder):
     """A copied estimator with another number of updates, found again among the stages."""

@@ -30,6 +30,9 @@ CHARGE = """data AS (
          l_extendedprice / 100000 * (1 - l_discount) * (1 + l_tax) AS y,
          [l_extendedprice / 100000, l_discount, l_tax] AS x
   FROM lineitem)"""
+PERFECT = """data AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice / 60000 / 2 AS y, [l_extendedprice / 60000] AS x
+  FROM lineitem)"""
 SHIFTED_YEAR = f"""data AS (
   SELECT l_orderkey, l_linenumber, (year(l_shipdate) - {K.FIRST_YEAR})::DOUBLE AS y,
          [l_quantity / 50, l_discount, l_tax] AS x
@@ -543,9 +546,9 @@ FROM descent, range({width}) AS r(i) WHERE iter = {last}"""
 SELECT iter::INT AS iter, {rounded(HISTORY_RMSE, 'rmse')}
 FROM descent, gram WHERE iter < {last}"""
 
-    def trained(prefix):
+    def trained(prefix, width=3):
         return f"""WITH RECURSIVE {prefix}, {sides('data', 0.9, 0)},
-train AS (SELECT * FROM sided WHERE side = 'train'), {descent('train', 3)},
+train AS (SELECT * FROM sided WHERE side = 'train'), {descent('train', width)},
 final AS (SELECT w FROM descent WHERE iter = {last})"""
 
     row_rmse = f"sqrt(avg(({dot('w', 'x')} - y) ** 2))"
@@ -556,6 +559,9 @@ final AS (SELECT w FROM descent WHERE iter = {last})"""
         "gd_rows_errors": f"""WITH RECURSIVE {PRICE}, {descent('data', 3)}
 SELECT iter::INT AS iter, {rounded(f"sqrt(avg(({dot('w', 'x')} - y) ** 2))", 'rmse')}
 FROM descent, data WHERE iter < 3 GROUP BY iter""",
+        "gd_perfect_history": f"""{trained(PERFECT, 1)}
+SELECT iter::INT AS iter, {rounded(f"1e6 * {row_rmse}", 'rmse', 4)}
+FROM descent, train WHERE iter < {last} GROUP BY iter""",
         "pipeline_copy_score": f"""WITH RECURSIVE {PRICE}, {descent('data', 3)}
 SELECT i::INT AS idx, {rounded('w[i + 1]', 'value')}
 FROM descent, range(3) AS r(i) WHERE iter = 5""",

@@ -216,7 +216,8 @@ def gradient_descent(
     if estimator.by_rows(width):
         return _fitted_by_rows(estimator, df, K.SPLIT_9_1, keys, seed)
     sides = _sides(df, keys, K.SPLIT_9_1, seed, width)
-    model = estimator.fit_moments(sides["train"])
+    train, _ = hash_split(df, K.SPLIT_9_1, keys, seed)
+    model = estimator.fit_moments(sides["train"], train)
     return model, _errors_from_moments(model, sides, df, K.SPLIT_9_1, keys, seed)
 
 

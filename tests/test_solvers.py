@@ -216,3 +216,22 @@ def test_programs_preview_test_rows_and_count_rejects(spark, folder):
         rejected = {r.reason: r["count"] for r in tables["rejected"].collect()}
         assert set(rejected) == {"non_finite"}
         assert rejected["non_finite"] == T.table(spark, folder, "lineitem").where("l_linenumber <= 3").count()
+
+
+@pytest.mark.parametrize("noise", [0.0, 1e-10])
+def test_program_of_a_near_perfect_descent_tells_the_errors_of_its_rows(spark, noise):
+    random = np.random.default_rng(8)
+    x = random.uniform(0, 1.5, 500)
+    y = 0.5 * x + noise * random.standard_normal(500)
+    df = spark.createDataFrame(
+        [(i, [float(a)], float(b)) for i, (a, b) in enumerate(zip(x, y))], "id long, features array<double>, label double"
+    )
+    model, errors = regression.gradient_descent(df, ["id"])
+    train = {r.id for r in regression.hash_split(df, [0.9, 0.1], ["id"], 0)[0].select("id").collect()}
+    own = np.array([i in train for i in range(500)])
+    w, history = 0.0, []
+    for i in range(100):
+        history.append(np.sqrt(np.mean((w * x[own] - y[own]) ** 2)))
+        w -= np.mean((w * x[own] - y[own]) * x[own]) / np.sqrt(i + 1)
+    np.testing.assert_allclose(model.history, history, rtol=1e-3, atol=1e-16)
+    assert errors.count() == 2
