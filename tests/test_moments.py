@@ -153,3 +153,26 @@ def test_one_scan(spark, data, jobs_of):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert jobs == 1
+
+
+@pytest.mark.parametrize("width", [1, M.FEW])
+def test_a_column_far_from_zero_takes_one_pass(spark, jobs_of, width):
+    random = np.random.default_rng(9)
+    x = random.standard_normal((3000, width)) * 1e-3 + 1e6
+    y = x.sum(axis=1) + random.standard_normal(3000) * 1e-3
+    far, near = (table(spark, x - shift, y - shift) for shift in (0.0, 1e6))
+    found, jobs = jobs_of(lambda: M.collect_moments(far, width=width)[None])
+    _, wanted = jobs_of(lambda: M.collect_moments(near, width=width)[None])
+    assert jobs == wanted
+    z = np.column_stack([x, y])
+    d = z - z.mean(axis=0)
+    np.testing.assert_allclose(found.products, d.T @ d, rtol=1e-6, atol=1e-9)
+    np.testing.assert_allclose(found.mean, z.mean(axis=0), rtol=1e-12)
+
+
+def test_groups_of_one_row_and_hot_groups(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0], 3.0)] * 50 + [(1, [4.0, 5.0], 6.0)], "g int, features array<double>, label double")
+    found = M.collect_moments(df, by=F.col("g"), width=2)
+    assert found[0].n == 50 and found[1].n == 1
+    assert not found[0].products.any() and not found[1].products.any()
+    assert found[1].mean.tolist() == [4.0, 5.0, 6.0]

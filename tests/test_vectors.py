@@ -83,26 +83,3 @@ def test_empty_table(spark):
     assert tuple(summary.row_count(empty).first()) == (0,)
     assert tuple(summary.min_max_avg(empty, "year").first()) == (None, None, None)
     assert summary.count_per_key(empty, "year").count() == 0
-
-
-def test_long_vectors_are_summed_whole(spark):
-    """No row per element before the sums, null elements add nothing, any number of groups."""
-    import numpy as np
-    from plan_text import plan_of
-
-    random = np.random.default_rng(1)
-    data = [(i % 400, [None if j == 3 and i % 2 else float(x) for j, x in enumerate(v)])
-            for i, v in enumerate(random.standard_normal((900, 20)))]
-    rows = spark.createDataFrame([*data, (7, None), (999, None)], "key int, v array<double>")
-    sums = summary.vector_sum(rows, "v", by=["key"])
-    plan = plan_of(sums)
-    assert plan.index("Generate") < plan.index("Exchange") and plan.count("Generate") == 1  # after the sums
-    found = {(r["key"], r["idx"]): r["value"] for r in sums.collect()}
-    wanted = {}
-    for key, v in data:
-        for j, x in enumerate(v):
-            wanted[key, j] = wanted.get((key, j), 0.0) + (x or 0.0)
-    assert found.keys() == wanted.keys()
-    assert all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
-    whole = summary.vector_sum(rows, "v", width=20).orderBy("idx").collect()
-    assert [r["value"] for r in whole] == pytest.approx([sum(wanted[k, j] for k in range(400)) for j in range(20)])
