@@ -3,13 +3,19 @@ inside every task before anything is shuffled."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linefit.functions import vectors as V
 
+HELD = 4096  # keys whose sums a task holds at most
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("count"))
@@ -54,8 +60,9 @@ def vector_sum(
     Unequal widths within a group, or another width than the known one (given, or in the
     column's metadata), are an error; null vectors are left out, and a group of nothing else
     has no rows. Short vectors of known width are summed position by position and only the
-    sums become rows. Otherwise the elements become rows and are summed per position; the
-    partial sums of a task number (groups × width) whatever the number of vectors.
+    sums become rows. Longer ones of known width are added up as blocks (:func:`_dense_sums`).
+    Otherwise the elements become rows and are summed per position; the partial sums of a task
+    number (groups × width) whatever the number of vectors.
     """
     width = width or V.known_width(df, vector)
     v = V.checked(F.col(vector), width)
@@ -64,6 +71,8 @@ def vector_sum(
         summed = df.groupBy(*by).agg(F.count(v).alias("_rows"), F.array(*sums).alias("_sums"))
         rows = summed.filter(F.col("_rows") > 0)
         return rows.select(*by, F.posexplode("_sums").alias("idx", "value"))
+    if width is not None:
+        return _dense_sums(df, vector, list(by), width)
     size = F.col("_size")
     unequal = F.raise_error(
         F.concat(F.lit("vector widths differ: "), F.min(size), F.lit(" and "), F.max(size))
@@ -75,6 +84,55 @@ def vector_sum(
     )
 
 
+def _dense_sums(df: DataFrame, vector: str, by: list[str], width: int) -> DataFrame:
+    """Each task adds its vectors up by key in numpy, a batch as one matrix, and passes its sums on
+    whenever it holds ``HELD`` keys; only those become rows, which are added as any others."""
+    rows = df.select(*by, V.as_array(df, vector).alias("_vector"))
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def passed_on() -> pa.RecordBatch:
+            keys = list(zip(*held)) if held and by else [[] for _ in by]
+            arrays = [pa.array(k, t) for k, t in zip(keys, kinds)]
+            return pa.RecordBatch.from_arrays(
+                [*arrays, pa.array(list(held.values()), pa.list_(pa.float64()))], [*by, "_sums"]
+            )
+
+        kinds: list = []
+        for batch in batches:
+            kinds = [batch.column(i).type for i in range(len(by))]
+            sizes = batch.column(len(by)).value_lengths()
+            there = np.flatnonzero(sizes.is_valid().to_numpy(zero_copy_only=False))
+            odd = next((n for n in sizes.drop_null().to_pylist() if n != width), None)
+            if odd is not None:
+                raise ValueError(f"vector widths differ: {odd} and {width}")
+            if not len(there):
+                continue
+            vectors = batch.column(len(by)).drop_null().flatten()
+            matrix = pc.fill_null(vectors, 0.0).to_numpy(zero_copy_only=False).reshape(-1, width)
+            code = np.zeros(len(there), np.int64)
+            for i in range(len(by)):
+                own = batch.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)[there]
+                _, code = np.unique(np.stack([code, own]), axis=1, return_inverse=True)
+                code = code.reshape(-1)
+            order = np.argsort(code, kind="stable")
+            firsts = np.flatnonzero(np.diff(code[order], prepend=-1))
+            sums = np.add.reduceat(matrix[order], firsts)
+            for row, total in zip(there[order[firsts]].tolist(), sums):
+                key = tuple(batch.column(i)[row].as_py() for i in range(len(by)))
+                held[key] = held[key] + total if key in held else total
+            if len(held) > HELD:
+                yield passed_on()
+                held.clear()
+        if held:
+            yield passed_on()
+
+    elements = rows.mapInArrow(partial, schema).select(*by, F.posexplode("_sums").alias("idx", "element"))
+    return elements.groupBy(*by, "idx").agg(F.sum("element").alias("value"))
+
+
 def widths(df: DataFrame, vector: str) -> DataFrame:
     """Rows per vector width."""
     return df.groupBy(F.size(vector).alias("width")).agg(F.count("*").alias("count"))

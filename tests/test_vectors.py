@@ -83,3 +83,33 @@ def test_empty_table(spark):
     assert tuple(summary.row_count(empty).first()) == (0,)
     assert tuple(summary.min_max_avg(empty, "year").first()) == (None, None, None)
     assert summary.count_per_key(empty, "year").count() == 0
+
+
+def test_long_vectors_are_summed_as_blocks(spark, monkeypatch):
+    """No row per element before the sums, null elements add nothing, any number and kind of keys."""
+    import numpy as np
+    import pytest
+
+    monkeypatch.setattr(summary, "HELD", 50)
+    random = np.random.default_rng(1)
+    data = [(i % 300 if i % 7 else None, "ab"[i % 2], [None if j == 3 and i % 2 else float(x) for j, x in enumerate(v)])
+            for i, v in enumerate(random.standard_normal((900, 20)))]
+    rows = spark.createDataFrame([*data, (7, "a", None), (999, "b", None)], "key int, `the kind` string, v array<double>")
+    wanted = {}
+    for key, kind, v in data:
+        for j, x in enumerate(v):
+            wanted[key, kind, j] = wanted.get((key, kind, j), 0.0) + (x or 0.0)
+    for repeated in (1, 4):
+        sums = summary.vector_sum(rows.repartition(repeated), "v", by=["key", "the kind"], width=20)
+        found = {(r["key"], r["the kind"], r["idx"]): r["value"] for r in sums.collect()}
+        assert found.keys() == wanted.keys()
+        assert all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("MapInArrow")  # printed from the last step on
+    whole = summary.vector_sum(rows, "v", width=20).orderBy("idx").collect()
+    totals = [sum(v for (_, _, i), v in wanted.items() if i == j) for j in range(20)]
+    assert [r["value"] for r in whole] == pytest.approx(totals)
+    floats = rows.selectExpr("key", "cast(v as array<float>) v")
+    assert summary.vector_sum(floats, "v", width=20).count() == 20
+    with pytest.raises(Exception, match="vector widths differ"):
+        summary.vector_sum(rows.selectExpr("slice(v, 1, 19) v"), "v", width=20).collect()
