@@ -10,7 +10,8 @@ Filters act on bytes one by one, so their parts are tabulated for pairs of bytes
 them is table look-ups and maxima over batches of windows.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything if nothing is
-labelled. Repeated rows give repeated results; extra columns are not carried.
+labelled; an empty table gives no rows. Repeated rows give repeated results. Other columns are
+carried as they are, whatever their names; only the two new ones may not be taken.
 """
 
 from __future__ import annotations
@@ -23,13 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from linefit.llm.common import once_per_process, pieces_of
+from linefit.llm.common import named, once_per_process, pieces_of, row_of, unpacked
 
 WINDOW, EMBEDDED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 PER_LANGUAGE, EPOCHS, BATCH, RATE = 1500, 6, 64, 0.004
-#: Parts in which the rows of a label are thinned to the sample's size before they meet.
-PARTS = 64
 UNKNOWN = "und"
 #: Windows that are in memory at once when the network is applied.
 AT_ONCE = 256
@@ -141,47 +141,58 @@ def learn(
 ) -> Network | None:
     """A network from the rows with ``usable`` and a label, or None if there are none.
 
-    Of each language, the rows whose keys' hashes are smallest give one window each, from a
-    place that the hash picks.
+    Of each language, the ``per_language`` rows whose hashes are smallest give one window each,
+    from a place that a hash picks; of equal rows one counts. How many different rows a language
+    has, about, tells below which hash they lie, so only a few more are gathered and sorted.
     """
-    body = F.col(text)
-    order = F.xxhash64(F.col(key), F.length(body))
-    begin = F.pmod(order, F.greatest(F.length(body) - WINDOW, F.lit(1))).cast("int") + 1
-    rows = docs.where(usable & F.col(label).isNotNull() & body.rlike("\\p{L}")).select(
-        F.col(label).alias("label"), order.alias("order"), F.col(key).alias("key"),
-        F.substring(body, begin, F.lit(WINDOW)).alias("snippet"),
+    body = named(text)
+    place = F.xxhash64(named(key), F.length(body))
+    begin = F.pmod(place, F.greatest(F.length(body) - WINDOW, F.lit(1))).cast("int") + 1
+    rows = docs.where(usable & named(label).isNotNull() & body.rlike("\\p{L}")).select(
+        named(label).alias("label"), F.substring(body, begin, F.lit(WINDOW)).alias("snippet"),
+        place.alias("place"),
+    ).withColumn("order", F.xxhash64("place", "snippet"))
+    sizes = rows.groupBy("label").agg(F.approx_count_distinct("order", 0.02).alias("n")).collect()
+    if not sizes:
+        return None
+    wanted = 1.2 * per_language + 200
+    cuts = docs.sparkSession.createDataFrame(  # one row per language
+        [(r["label"], -(1 << 63) + min((1 << 64) - 1, int((1 << 64) * wanted / max(r["n"], 1)))) for r in sizes],
+        "label string, cut long",
     )
-    # a frequent label is first thinned in parts, so no task takes in all of its rows
-    part = F.pmod(F.col("order"), F.lit(PARTS))
-    for spread in (["label", part], ["label"]):
-        nth = F.row_number().over(W.partitionBy(*spread).orderBy("order", "key", "snippet"))
-        rows = rows.withColumn("nth", nth).where(F.col("nth") <= per_language)
-    sample = rows.orderBy("label", "nth").select("label", "snippet").collect()
+    few = rows.join(F.broadcast(cuts), "label").where(F.col("order") <= F.col("cut")).drop("cut").distinct()
+    nth = F.row_number().over(W.partitionBy("label").orderBy("order", "place", "snippet"))
+    sample = few.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("label", "nth")
     # languages × per_language short texts
-    if not sample:
-        return None
-    languages = sorted({r["label"] for r in sample})
+    found = [(r["label"], r["snippet"]) for r in sample.select("label", "snippet").collect()]
+    languages = sorted({name for name, _ in found})
     at = {name: i for i, name in enumerate(languages)}
-    windows = np.stack([windows_of(r["snippet"].encode() or b" ")[0] for r in sample])
-    return train(windows, np.array([at[r["label"]] for r in sample]), languages)
+    windows = np.stack([windows_of(snippet.encode() or b" ")[0] for _, snippet in found])
+    return train(windows, np.array([at[name] for name, _ in found]), languages)
 
 
-def predict(
+def scored(
     docs: DataFrame, network: Network | None, text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """The columns ``carry`` (all, if None) with ``_language`` and ``_share`` of the whole text."""
+    """``row`` (the columns ``carry``, or all, but the text), the text if it is carried as ``text``,
+    ``language`` and ``share`` of the whole text.
+
+    Of languages with equal shares the first in order is taken. Texts of any length are read
+    window by window.
+    """
+    body = named(text)
+    lettered = F.coalesce(body.rlike("\\p{L}"), F.lit(False))
     carry = docs.columns if carry is None else carry
-    lettered = F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False))
+    kept = ["row", "text"] if text in carry else ["row"]
+    rows = docs.select(row_of(docs, [c for c in carry if c != text]), body.alias("text"), lettered.alias("lettered"))
     if network is None:
-        return docs.select(*carry, F.lit(UNKNOWN).alias("_language"), F.lit(0.0).alias("_share"))
-    extra = [] if text in carry else [text]
-    rows = docs.select(*carry, *extra, lettered.alias("_lettered"))
+        return rows.select(*kept, F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("share"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = once_per_process(("cnn", network.weights.tobytes()), network.tables)
-        for batch in pieces_of(batches, text, 1 << 20):
+        tables = once_per_process("cnn", network.weights.tobytes(), network.tables)
+        for batch in pieces_of(batches, "text", 1 << 20):
             names, shares = [], []
-            for body, letters in zip(batch.column(text).to_pylist(), batch.column("_lettered").to_pylist()):
+            for body, letters in zip(batch.column("text").to_pylist(), batch.column("lettered").to_pylist()):
                 if not letters:
                     names.append(UNKNOWN)
                     shares.append(0.0)
@@ -198,9 +209,25 @@ def predict(
                 names.append(network.languages[best])
                 shares.append(min(1.0, float(total[best] / len(data))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in carry] + [pa.array(names, pa.string()), pa.array(shares, pa.float64())],
-                [*carry, "_language", "_share"],
+                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(shares, pa.float64())],
+                [*kept, "language", "share"],
             )
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return rows.mapInArrow(score, f"{schema}, _language string, _share double")
+    schema = T.StructType([
+        *(rows.schema[c] for c in kept), T.StructField("language", T.StringType()), T.StructField("share", T.DoubleType()),
+    ])
+    return rows.mapInArrow(score, schema)
+
+
+def predict(
+    docs: DataFrame, network: Network | None, text: str = "text", carry: list[str] | None = None,
+    language: str = "_language", share: str = "_share",
+) -> DataFrame:
+    """The columns ``carry`` (all, if None) with the language and its share, named as asked."""
+    carry = docs.columns if carry is None else carry
+    clash = {language, share} & set(carry)
+    if clash:
+        raise ValueError(f"the table has columns {sorted(clash)}: give the new ones other names")
+    found = scored(docs, network, text, carry)
+    columns = unpacked(found, carry, {text: F.col("text")} if text in carry else {})
+    return found.select(*columns, F.col("language").alias(language), F.col("share").alias(share))

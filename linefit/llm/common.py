@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from linefit.sources.staging import new_path, remove_at_exit
 
-#: A table of more rows than this is never broadcast.
-BROADCAST_ROWS = 20_000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -40,12 +37,48 @@ def discard(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def once_per_process(key: Any, make: Callable[[], Any]) -> Any:
-    """The value kept under ``key`` in this Python worker, made at first use."""
+def once_per_process(family: str, key: Any, make: Callable[[], Any]) -> Any:
+    """The value for ``key`` in this Python worker, made at first use.
+
+    A worker serves all queries of a session, one after the other. It keeps two values of one
+    family at most, and none of other families, so that a long session does not fill it.
+    """
     kept = sys.__dict__.setdefault("_kept_by_llm_tasks", {})
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    for other in [f for f in kept if f != family]:
+        del kept[other]
+    values = kept.setdefault(family, {})
+    if key not in values:
+        if len(values) == 2:
+            values.clear()
+        values[key] = make()
+    return values[key]
+
+
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Have the session pass rows to Python in batches of at most ``most`` bytes from now on.
+
+    Spark's own limit is 64 MB, which each task holds several times over, in its JVM and worker.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, "64m").lower().rstrip("b").replace("k", "000").replace("m", "000000").replace("g", "000000000")) > most:
+        spark.conf.set(name, f"{most}b")
+
+
+def named(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_of(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """The caller's columns in one column ``row``, so that no name of theirs meets one of ours."""
+    names = df.columns if columns is None else columns
+    return F.struct(*([named(c) for c in names] or [F.lit(0).alias("nothing")])).alias("row")
+
+
+def unpacked(df: DataFrame, columns: list[str], replaced: dict[str, Column] | None = None) -> list[Column]:
+    """The caller's columns out of ``row`` again, some of them replaced."""
+    replaced = replaced or {}
+    return [replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in columns]
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator:

@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from linefit.llm.common import once_per_process
 
@@ -43,7 +44,7 @@ def load_tokenizer(name: str):
         tokenizer.no_truncation()
         return tokenizer
 
-    return once_per_process(("tokenizer", name), load)
+    return once_per_process("tokens", ("tokenizer", name), load)
 
 
 class MergeTable:
@@ -238,28 +239,45 @@ class WordEncoder:
     def _group(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_WORDS:
             self.known, self.older = {}, self.known
-        known, older, new, split = self.known, self.older, set(), []
+        known, older = self.known, self.older
+        words, ends = [], []  # of all texts, and where those of each one end (None: encode it whole)
         for text in texts:
-            words = None
-            if not _DOUBTFUL.search(text):
-                # lower case is what the library makes of it later, and fewer words are new;
-                # but special tokens are sought in the text as it is
-                as_is = "<|" in text or _BEYOND_LATIN.search(text)
-                words = (text if as_is else text.lower()).split()
-                new.update(set(words).difference(known))
-            split.append(words)
+            if _DOUBTFUL.search(text):
+                ends.append(None)
+                continue
+            # lower case is what the library makes of it later, and fewer words are new;
+            # but special tokens are sought in the text as it is
+            as_is = "<|" in text or _BEYOND_LATIN.search(text)
+            words += (text if as_is else text.lower()).split()
+            ends.append(len(words))
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        which = coded.indices.to_numpy()
+        place = np.empty(len(coded.dictionary), np.int64)
+        place[which] = np.arange(len(which))
+        distinct = [words[i] for i in place.tolist()]
+        new = [w for w in distinct if w not in known]
         known.update((w, older[w]) for w in new if w in older)
         found = self._learn([w for w in new if w not in known])
         known.update(found)
-        out = [
-            self.whole(text) if words is None else b"".join(map(known.__getitem__, words))
-            for text, words in zip(texts, split)
-        ]
+        parts = [known[w] for w in distinct]
         for word in found:
             if len(word) > KEPT_LENGTH:
                 del known[word]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        first = np.cumsum(sizes) - sizes
+        many = sizes[which]
+        stops = np.append(0, np.cumsum(many))
+        ids = np.frombuffer(b"".join(parts), self.dtype)
+        ids = ids[np.repeat(first[which] - stops[:-1], many) + np.arange(stops[-1])]
+        out, start = [], 0
+        for text, end in zip(texts, ends):
+            if end is None:
+                out.append(self.whole(text))
+                continue
+            out.append(ids[start : stops[end]].tobytes())
+            start = stops[end]
         return out
 
 
 def word_encoder(name: str) -> WordEncoder:
-    return once_per_process(("words", name), lambda: WordEncoder(name))
+    return once_per_process("tokens", ("words", name), lambda: WordEncoder(name))
