@@ -14,7 +14,10 @@ surrogate, or an entity that occurs, is derived anew; only documents with such a
 part in a join. Given names come from closed lists by a permutation, so they stay distinct, but
 may equal a name that occurs elsewhere.
 
-Null text stays null; rows without entities pass unchanged; rows and columns are all kept.
+Null text stays null; rows without entities pass unchanged; rows and columns are all kept, whatever
+their names (the count's name may not be taken). Null keys, repeated rows, empty tables and texts
+of any length are fine. If a kind has no room left for another surrogate (a table with nearly all
+social security numbers), the job ends with an error that names it.
 """
 
 from __future__ import annotations
@@ -25,7 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linefit.llm.common import staged
+from linefit.llm.common import discard, named, row_of, staged, unpacked
+
+#: Distinct entities whose surrogates one task draws and checks, about.
+ENTITIES = 2_000
+#: Surrogates an entity tries before the job ends with an error: a kind may run out of numbers.
+ATTEMPTS = 200
 
 # Given names by script and gender.
 GIVEN = {
@@ -82,11 +90,15 @@ PATTERN = f"{_NUMBER}|(?<!\\w){_KEY}(?!\\w)|{_SECRET}|{_NAME}|(?<![\\w.%+-]){_EM
 
 
 def _hint(text: Column) -> Column:
-    """False only for texts without an entity; much cheaper than the pattern."""
-    words = [f(w) for w in ("password", "token", "secret") for f in (str, str.title, str.upper)]
-    out = text.contains("@") | text.rlike("[0-9][0-9]") | text.contains("AKIA")
-    for word in words:
-        out = out | text.contains(word)
+    """False only for texts without an entity; much cheaper than the pattern.
+
+    An address has a sign of its own; of numbers only an IP address may have no two digits side by
+    side, and it has digits about a stop; a key and a secret have their words, in any case.
+    """
+    lower = F.lower(text)
+    out = text.contains("@") | text.rlike("[0-9]\\.?[0-9]") | text.contains("AKIA")
+    for word in ("password", "token", "secret"):
+        out = out | lower.contains(word)
     return out | text.rlike(_NAME)
 
 
@@ -276,11 +288,12 @@ def _retries(units: DataFrame, secret: str) -> tuple[DataFrame | None, list[str]
         .select("kind", _norm(F.col("kind"), F.col("raw")).alias("norm")).distinct(), "entities",
     )
     paths, attempt, settled, retried = [path], 0, None, None
-    pending = entities
+    pending, left = entities, entities.count()
     real = entities.select("kind", F.col("norm").alias("s"))
     while True:
         drawn = surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), secret)
-        tried = pending.withColumn("s", _norm(F.col("kind"), drawn))
+        spread = pending.repartition(max(1, min(left // ENTITIES, 10_000)), "kind", "norm")
+        tried = spread.withColumn("s", _norm(F.col("kind"), drawn))
         taken = real if settled is None else real.unionByName(settled.select("kind", "s"))
         clash = tried.join(taken.withColumn("clash", F.lit(True)).distinct(), ["kind", "s"], "left")
         nth = F.row_number().over(W.partitionBy("kind", "s").orderBy("norm"))
@@ -295,9 +308,13 @@ def _retries(units: DataFrame, secret: str) -> tuple[DataFrame | None, list[str]
             again = won.select(_entity(F.col("kind"), F.col("norm")).alias("entity"), F.lit(attempt).alias("attempt"))
             retried = again if retried is None else retried.unionByName(again)
         pending = judged.where(~F.col("ok")).select("kind", "norm")
-        if pending.isEmpty():
+        left = pending.count()
+        if not left:
             return retried, paths
         attempt += 1
+        if attempt == ATTEMPTS:
+            kinds = sorted(r[0] for r in pending.select("kind").distinct().collect())
+            raise ValueError(f"{left} entities found no surrogate of their own: no room left for {', '.join(kinds)}")
 
 
 def replaced(
@@ -309,27 +326,31 @@ def replaced(
     ``secret`` must be kept: with it the surrogates can be told, not the entities.
     """
     columns = docs.columns
-    body = F.col(text)
+    if count_as in columns:
+        raise ValueError(f"the table has a column {count_as!r}: give the count another name")
+    body = F.col("text")
     found = F.when(_hint(body), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0)))
-    rows = docs.withColumn("_pii_found", found)
-    units = rows.where(F.size("_pii_found") > 0).select(
-        F.explode("_pii_found").alias("match")
+    rows = docs.select(
+        row_of(docs, [c for c in columns if c != text]), named(text).alias("text"), named(key).alias("key")
+    ).withColumn("found", found)
+    units = rows.where(F.size("found") > 0).select(
+        F.explode("found").alias("match")
     ).select(F.explode(_units(F.col("match"))).alias("u")).select("u.*").distinct()
-    retries, _ = _retries(units, secret)
+    retries, paths = _retries(units, secret)
     if retries is None:
         attempt = lambda kind, raw: F.lit(0)
+        discard(docs.sparkSession, *paths)
     else:
-        mine = rows.where(F.size("_pii_found") > 0).select(
-            F.col(key).alias("_pii_key"), F.explode("_pii_found").alias("match")
-        ).select("_pii_key", F.explode(_units(F.col("match"))).alias("u")).select(
-            "_pii_key", _entity(F.col("u.kind"), _norm(F.col("u.kind"), F.col("u.raw"))).alias("entity")
+        mine = rows.where(F.size("found") > 0).select("key", F.explode("found").alias("match")).select(
+            "key", F.explode(_units(F.col("match"))).alias("u")
+        ).select("key", _entity(F.col("u.kind"), _norm(F.col("u.kind"), F.col("u.raw"))).alias("entity")
         ).distinct().join(retries, "entity")
-        maps = mine.groupBy("_pii_key").agg(
-            F.map_from_entries(F.collect_list(F.struct("entity", "attempt"))).alias("_pii_again")
+        maps = mine.groupBy(F.col("key").alias("of")).agg(
+            F.map_from_entries(F.collect_list(F.struct("entity", "attempt"))).alias("again")
         )
-        rows = rows.join(maps, F.col(key).eqNullSafe(F.col("_pii_key")), "left")
+        rows = rows.join(maps, F.col("key").eqNullSafe(F.col("of")), "left")
         attempt = lambda kind, raw: F.coalesce(
-            F.try_element_at(F.col("_pii_again"), _entity(kind, _norm(kind, raw))), F.lit(0)
+            F.try_element_at(F.col("again"), _entity(kind, _norm(kind, raw))), F.lit(0)
         )
 
     def new(match: Column) -> Column:
@@ -340,15 +361,10 @@ def replaced(
 
     between = F.split(body, PATTERN, -1)
     stitched = F.array_join(
-        F.zip_with(
-            between, F.transform("_pii_found", new), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))
-        ), "",
-    )
-    number = F.coalesce(
-        F.size(F.filter("_pii_found", lambda m: _kind(m).isNotNull())), F.lit(0)
+        F.zip_with(between, F.transform("found", new), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))), "",
     )
-    out = rows.withColumn("_pii_text", F.when(F.size("_pii_found") > 0, stitched).otherwise(body))
-    kept = [F.col("_pii_text").alias(c) if c == text else F.col(c) for c in columns]
+    number = F.coalesce(F.size(F.filter("found", lambda m: _kind(m).isNotNull())), F.lit(0))
+    kept = unpacked(rows, columns, {text: F.when(F.size("found") > 0, stitched).otherwise(body)})
     if count_as:
-        kept.append(F.when(F.size("_pii_found") > 0, number).otherwise(0).alias(count_as))
-    return out.select(*kept)
+        kept.append(F.when(F.size("found") > 0, number).otherwise(0).alias(count_as))
+    return rows.select(*kept)
