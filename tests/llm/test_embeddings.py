@@ -124,3 +124,17 @@ def test_links_of_nothing(spark):
 def test_link_query(spark, folder):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     agree(queries.op3_product_quantiser(spark, folder).collect(), links_brute(rows, 0.95))
+
+
+def test_near_neighbours_are_found_among_few_rows(spark):
+    """Groups of vectors far from each other: a small part of all rows is measured."""
+    random = np.random.default_rng(11)
+    centres = random.standard_normal((1500, 32))
+    data = np.repeat(centres, 12, axis=0) + 0.05 * random.standard_normal((18_000, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(data.astype(np.float32))]
+    out = prefix_forest.nearest(frame(spark, rows), F.col("vec_id") % 200 == 0, measured=True).collect()
+    wanted = nearest_brute(rows, range(0, 18_000, 200), 10)
+    hits = sum(r["vec_id"] in dict(wanted[r["query_id"]]) for r in out)
+    assert hits >= 0.95 * 900
+    share = np.mean([r["measured"] for r in out if r["rank"] == 1]) / len(rows)
+    assert share <= 0.06
