@@ -1 +1,8 @@
 """Readers for delimited text, under explicit rules for bad rows."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel with them, so executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
