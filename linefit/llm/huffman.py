@@ -39,6 +39,8 @@ STRETCH = 1 << 16
 #: A file is closed once it holds so many ids; a longer document has a file of its own.
 FILE_IDS = 2 << 20
 MAGIC = b"IDHUFF01"
+#: Words whose ids a worker keeps while it encodes (about 100 MB).
+KEPT = 800_000
 #: Stands for a null key in a file.
 NULL_KEY = -(1 << 63)
 
@@ -191,7 +193,7 @@ def ordered_ids(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, KEPT)
         end = np.array([end_id], encoder.dtype).tobytes()
         part, local = TaskContext.get().partitionId(), 0
         counts = np.zeros(max(encoder.library.get_vocab_size(), end_id + 1), "<i8")

@@ -180,8 +180,8 @@ class MergeTable:
 class WordEncoder:
     """Ids of texts as little-endian bytes of ``dtype``."""
 
-    def __init__(self, name: str):
-        self.library = load_tokenizer(name)
+    def __init__(self, name: str, kept: int = KEPT_WORDS):
+        self.library, self.kept = load_tokenizer(name), kept
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # those that are met again move to the known ones
@@ -237,7 +237,7 @@ class WordEncoder:
         yield from self._group(group)
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_WORDS:
+        if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         words, ends = [], []  # of all texts, and where those of each one end (None: encode it whole)
@@ -279,5 +279,5 @@ class WordEncoder:
         return out
 
 
-def word_encoder(name: str) -> WordEncoder:
-    return once_per_process("tokens", ("words", name), lambda: WordEncoder(name))
+def word_encoder(name: str, kept: int = KEPT_WORDS) -> WordEncoder:
+    return once_per_process("tokens", ("words", name, kept), lambda: WordEncoder(name, kept))
