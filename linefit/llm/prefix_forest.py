@@ -132,7 +132,7 @@ def nearest(
     ranked = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
 
     def round_of(queries: DataFrame, most: int) -> DataFrame:
-        """(query_id, rank, vec_id, score), and as rank 0 the number of rows measured as score."""
+        """(query_id, rank, vec_id, score), and if ``measured`` as rank 0 the rows measured as score."""
         to_all = queries.select(
             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "v"
         )
@@ -141,8 +141,11 @@ def nearest(
             .mapInArrow(_search(width, k, most, queries_at_once), "query_id long, vec_id long, score double")
         )
         best = found.where("vec_id is not null").withColumn("rank", ranked).where(F.col("rank") <= k)
+        best = best.select("query_id", "rank", "vec_id", "score")
+        if not measured:
+            return best
         met = found.where("vec_id is null").groupBy("query_id").agg(F.sum("score").alias("score"))
-        return best.select("query_id", "rank", "vec_id", "score").unionByName(
+        return best.unionByName(
             met.select("query_id", F.lit(0).alias("rank"), F.lit(None).cast("long").alias("vec_id"), "score")
         )
 

@@ -71,8 +71,8 @@ def test_query(spark, folder):
 def test_many_cells(spark, docs_of, monkeypatch):
     """Small cells, some of them dealt over parts, and a sample that is not all words."""
     monkeypatch.setattr(spelling, "SAMPLE", 600)
-    monkeypatch.setattr(spelling, "CELL", 64)
-    monkeypatch.setattr(spelling, "MOST", 60)
+    monkeypatch.setattr(spelling, "CELL", 200)
+    monkeypatch.setattr(spelling, "MOST", 150)
     monkeypatch.setattr(spelling, "LEAF", 8)
     rng = random.Random(5)
     words = ["".join(rng.choices("abcdeé", k=rng.choice([7, 7, 7, 8, 9]))) for _ in range(1500)]
