@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefit.llm.common import pieces_of
+from linefit.llm.common import pieces_of, small_batches
 from linefit.llm.tokens import DEFAULT, load_tokenizer, word_encoder
 
 #: Characters of a leaf. Shorter texts are trees of one leaf.
@@ -156,6 +156,7 @@ def encode(
     leaf: int = LEAF,
 ) -> DataFrame:
     """``key`` and ``ids`` (unsigned 32-bit little-endian integers) of every row's whole text."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     long = F.length("text") > leaf
