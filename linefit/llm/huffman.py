@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefit.llm.common import discard, pieces_of, staged
+from linefit.llm.common import discard, pieces_of, small_batches, staged
 from linefit.llm.files import open_store
 from linefit.llm.tokens import DEFAULT, word_encoder
 from linefit.sources.staging import new_path, remove_at_exit
@@ -250,6 +250,7 @@ def write(
 ) -> DataFrame:
     """Encode ``docs`` into files; returns the archive: path, part, n (ids) of each file."""
     spark = docs.sparkSession
+    small_batches(spark)
     encoder = word_encoder(tokenizer)
     symbols, width = max(encoder.library.get_vocab_size(), end_id + 1), encoder.dtype.itemsize
     ids, path = ordered_ids(docs, key, text, tokenizer, end_id)
