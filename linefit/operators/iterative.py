@@ -30,6 +30,10 @@ from linefit.sources.staging import kept_table
 
 TOLERANCE = 1e-11
 BLOCK_BYTES = 4 << 20
+#: Bytes of rows or blocks that go to Python at once; Spark's own 64 MB would be held several times
+#: over, by the JVM and the worker of each task.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @dataclass(frozen=True)
@@ -136,13 +140,20 @@ def _bad_rows(bad: int) -> M.BadRows:
 
 class BlockRows(Rows):
     """The same rows, staged once as matrices of doubles (features…, label) of at most
-    ``BLOCK_BYTES``, each of one group; :meth:`release` removes them."""
+    ``BLOCK_BYTES``, each of one group; :meth:`release` removes them. Until then the session passes
+    rows to Python in batches of ``BATCH_BYTES``."""
 
     def __init__(self, df: DataFrame, label: str, features: str, by: Column | None, width: int):
         super().__init__(df, label, features, by, width)
-        self.blocks, self.release = kept_table(
-            self.table.mapInArrow(_packer(width), BLOCKS), "row-blocks", compression="none"
-        )
+        self.spark, self.limit = df.sparkSession, df.sparkSession.conf.get(BATCH_LIMIT)
+        self.spark.conf.set(BATCH_LIMIT, f"{BATCH_BYTES}b")
+        try:
+            self.blocks, self.remove = kept_table(
+                self.table.mapInArrow(_packer(width), BLOCKS), "row-blocks", **_few_in_memory()
+            )
+        except BaseException:
+            self.spark.conf.set(BATCH_LIMIT, self.limit)
+            raise
         try:
             bad = self.blocks.agg(F.sum("bad")).first()[0]
             if bad:
@@ -151,6 +162,10 @@ class BlockRows(Rows):
             self.release()
             raise
 
+    def release(self) -> None:
+        self.spark.conf.set(BATCH_LIMIT, self.limit)
+        self.remove()
+
     def __enter__(self) -> BlockRows:
         return self
 
@@ -178,6 +193,15 @@ class BlockRows(Rows):
         return None if first is None else np.frombuffer(bytes(first["head"]))
 
 
+def _few_in_memory() -> dict[str, str]:
+    """Options for blocks as Parquet: row groups and pages of a block or two, which a writer and a
+    reader hold whole. By default the first hundred rows are held before their size is looked at."""
+    return {
+        "compression": "none", "parquet.block.size": str(BLOCK_BYTES),
+        "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false",
+    }
+
+
 def _packer(width: int):
     """Rows of (group, x, y) into blocks; a last row without any counts the unusable rows."""
     read = M._batch_reader(width)

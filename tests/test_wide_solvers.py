@@ -139,3 +139,38 @@ def test_a_label_that_does_not_vary(spark):
         RidgeGridSearch(regParams=[0.1, 1.0], foldCol="fold", solver="rows").fit(df),
     ):
         assert not model.weights.any() and model.intercept == pytest.approx(2.5)
+
+
+def test_the_driver_receives_one_triangle_of_the_sketch(spark, monkeypatch):
+    x, y = correlated(8, 3000, 50)
+    df = table(spark, x, y)
+    received, to_arrow = [], type(df).toArrow
+
+    def counted(self):
+        table = to_arrow(self)
+        received.append(table.nbytes)
+        return table
+
+    monkeypatch.setattr(sketch, "PIECE", 16)
+    with iterative.BlockRows(df, "label", "features", None, 50) as rows:
+        problem = iterative.Problem(rows, [iterative.Model(0.0)])
+        monkeypatch.setattr(type(df), "toArrow", counted)
+        p = sketch.preconditioner(problem, 0.01)
+    assert received and sum(received) < 1.2 * 8 * 50**2
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    lengths = np.linalg.eigvalsh(p.T @ (z.T @ z / len(z) + 0.01 * np.eye(50)) @ p)
+    assert 0.3 < lengths.min() and lengths.max() < 3
+
+
+def test_staged_blocks_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(iterative, "BLOCK_BYTES", 8 * 21 * 10)
+    x, y = correlated(9, 500, 20)
+    before = spark.conf.get(iterative.BATCH_LIMIT)
+    with iterative.BlockRows(table(spark, x, y, 1), "label", "features", None, 20) as rows:
+        assert spark.conf.get(iterative.BATCH_LIMIT) == f"{iterative.BATCH_BYTES}b"
+        files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in rows.blocks.inputFiles()]
+        groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+        assert sum(groups) >= 50 and max(groups) <= 3
+    assert spark.conf.get(iterative.BATCH_LIMIT) == before
