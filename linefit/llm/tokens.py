@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from linefit.llm.common import once_per_process
 
@@ -226,12 +227,12 @@ class WordEncoder:
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """In the order of ``texts``; about a million characters are taken together."""
+        """In the order of ``texts``; about two million characters are taken together."""
         group, size = [], 0
         for text in texts:
             group.append(text)
             size += len(text)
-            if size > 1_000_000:
+            if size > 2_000_000:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
@@ -240,26 +241,25 @@ class WordEncoder:
         if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        words, ends = [], []  # of all texts, and where those of each one end (None: encode it whole)
-        for text in texts:
-            if _DOUBTFUL.search(text):
-                ends.append(None)
-                continue
-            # lower case is what the library makes of it later, and fewer words are new;
-            # but special tokens are sought in the text as it is
-            as_is = "<|" in text or _BEYOND_LATIN.search(text)
-            words += (text if as_is else text.lower()).split()
-            ends.append(len(words))
-        coded = pa.array(words, pa.string()).dictionary_encode()
+        # Arrow's white space is Python's; what lies before or after all words comes as an empty one
+        whole = [bool(_DOUBTFUL.search(text)) for text in texts]
+        # lower case is what the library makes of it later, and fewer words are new;
+        # but special tokens are sought in the text as it is
+        split = pc.utf8_split_whitespace(pa.array([
+            "" if doubtful else text if "<|" in text or _BEYOND_LATIN.search(text) else text.lower()
+            for text, doubtful in zip(texts, whole)
+        ], pa.string()))
+        ends = split.offsets.to_numpy()[1:]
+        coded = split.values.dictionary_encode()
         which = coded.indices.to_numpy()
-        place = np.empty(len(coded.dictionary), np.int64)
-        place[which] = np.arange(len(which))
-        distinct = [words[i] for i in place.tolist()]
-        new = [w for w in distinct if w not in known]
-        known.update((w, older[w]) for w in new if w in older)
-        found = self._learn([w for w in new if w not in known])
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(known.get, distinct))
+        new = [i for i, part in enumerate(parts) if part is None]
+        known.update((w, older[w]) for i in new if (w := distinct[i]) in older)
+        found = self._learn([w for i in new if (w := distinct[i]) not in known])
         known.update(found)
-        parts = [known[w] for w in distinct]
+        for i in new:
+            parts[i] = known[distinct[i]]
         for word in found:
             if len(word) > KEPT_LENGTH:
                 del known[word]
@@ -270,12 +270,9 @@ class WordEncoder:
         ids = np.frombuffer(b"".join(parts), self.dtype)
         ids = ids[np.repeat(first[which] - stops[:-1], many) + np.arange(stops[-1])]
         out, start = [], 0
-        for text, end in zip(texts, ends):
-            if end is None:
-                out.append(self.whole(text))
-                continue
-            out.append(ids[start : stops[end]].tobytes())
-            start = stops[end]
+        for text, doubtful, stop in zip(texts, whole, stops[ends].tolist()):
+            out.append(self.whole(text) if doubtful else ids[start:stop].tobytes())
+            start = stop
         return out
 
 

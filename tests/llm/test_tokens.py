@@ -60,3 +60,33 @@ def test_other_tokenizers_go_to_the_library():
     import public_tokenizers
 
     assert tokens.MergeTable.of(public_tokenizers.path("byte_bpe_50k.json")) is None
+
+
+def test_a_known_word_is_looked_up_once_a_group():
+    asked = []
+
+    class Counted(dict):
+        def get(self, word, other=None):
+            asked.append(word)
+            return super().get(word, other)
+
+        def __contains__(self, word):
+            asked.append(word)
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    encoder = tokens.WordEncoder(NAME)
+    texts = ["one two two three", "three four", "one four"]
+    first = list(encoder.encode(texts))
+    encoder.known = Counted(encoder.known)
+    assert list(encoder.encode(texts)) == first
+    assert sorted(asked) == ["four", "one", "three", "two"]
+
+
+def test_any_white_space_divides_words():
+    texts = [f"ab{chr(c)}cd{chr(c)}" for c in range(0x3100) if chr(c).isspace()]
+    assert got(texts) == [expected(t) for t in texts]
+    assert got(["", " "]) == [[], []] and got([]) == []
